@@ -23,7 +23,7 @@ class Layers:
 
     @classmethod
     def from_test_data(cls, spark: SparkSession, folder: str) -> "Layers":
-        return cls(retail.raw_tables(spark, folder))
+        return cls(retail.TestDataTables(spark, folder))
 
     # staging
 

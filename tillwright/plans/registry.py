@@ -58,7 +58,7 @@ def rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
 
 
 def _spark(layers: Layers) -> SparkSession:
-    return layers.raw.orders.sparkSession
+    return layers.raw.categories.sparkSession
 
 
 # ---- profiling ----------------------------------------------------------------------------------------------

@@ -46,8 +46,15 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 def read_parquet(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+    """Parquet table of a folder. Its schema is looked up once per process: every look-up is a job of its own."""
+    path = f"{folder.rstrip('/')}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def clean_employees(raw: DataFrame) -> DataFrame:

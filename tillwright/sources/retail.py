@@ -6,21 +6,18 @@ repeated and orphan keys) that the cleansing layer exists for. All columns are t
 
 from __future__ import annotations
 
-from decimal import Decimal
-from typing import NamedTuple
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
+from pyspark.sql import DataFrame, SparkSession
 
 from tillwright.sources.files import read_parquet
 
 
-class RawTables(NamedTuple):
-    customers: DataFrame
-    orders: DataFrame
-    products: DataFrame
-    categories: DataFrame
+class RawTables:
+    """The four raw tables of a shop; give any four frames, or use ``from_test_data``."""
+
+    def __init__(self, customers: DataFrame, orders: DataFrame, products: DataFrame, categories: DataFrame):
+        self.customers, self.orders, self.products, self.categories = customers, orders, products, categories
 
     def named(self) -> dict[str, DataFrame]:
         return {
@@ -31,90 +28,87 @@ class RawTables(NamedTuple):
         }
 
 
-def _text(c: str | Column) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).cast("string")
-
-
-def raw_tables(spark: SparkSession, folder: str) -> RawTables:
-    return RawTables(
-        customers=raw_customers(spark, folder),
-        orders=raw_orders(spark, folder),
-        products=raw_products(spark, folder),
-        categories=raw_categories(spark, folder),
-    )
-
-
-def _category_ids(spark: SparkSession, folder: str) -> DataFrame:
-    # The window runs over the distinct product types only, a handful of rows at any scale.
-    types = read_parquet(spark, folder, "part").select("p_type").distinct()
-    return types.select("p_type", F.dense_rank().over(W.orderBy("p_type")).alias("category_id"))
-
-
-def raw_categories(spark: SparkSession, folder: str) -> DataFrame:
-    used = _category_ids(spark, folder).select(
-        _text("category_id").alias("CategoryID"),
-        F.concat(F.lit(" "), "p_type", F.lit(" ")).alias("CategoryName"),
-        F.lower(F.substring("p_type", 1, 2)).alias("CategoryAbbreviation"),
-    )
-    unused = spark.range(1).select(
-        F.lit("99").alias("CategoryID"), F.lit("UNUSED").alias("CategoryName"), F.lit("un").alias("CategoryAbbreviation")
-    )
-    return used.unionByName(unused)
-
-
-def raw_products(spark: SparkSession, folder: str) -> DataFrame:
-    key = F.col("p_partkey")
-    part = read_parquet(spark, folder, "part").select("p_partkey", "p_name", "p_type", "p_size")
-    number = F.concat(F.lit("P"), _text(key))
-    price = (F.col("p_size") * F.lit(Decimal("2.5")) + F.lit(Decimal("2.49"))).cast("decimal(10,2)")
-    return (
-        part.join(_category_ids(spark, folder), "p_type")
-        .withColumn("copy", F.explode(F.sequence(F.lit(0), (key % 50 == 1).cast("int"))))
-        .select(
-            F.when(key % 10 == 0, F.concat(F.lit(" "), number, F.lit(" "))).otherwise(number).alias("ProdNumber"),
-            F.concat("p_name", F.lit(" "), _text(key)).alias("ProdName"),
-            F.when(key % 97 == 5, "bad").otherwise(_text("category_id")).alias("Category"),
-            F.when(key % 101 == 7, "0").when(key % 103 == 9, "n/a").otherwise(_text(price)).alias("Price"),
+class TestDataTables(RawTables):
+    """Raw tables on top of the parquet files in a folder; a table that is not used is not even planned."""
+
+    __test__ = False
+
+    def __init__(self, spark: SparkSession, folder: str):
+        self.spark, self.folder = spark, folder
+
+    def _read(self, name: str) -> DataFrame:
+        return read_parquet(self.spark, self.folder, name)
+
+    @cached_property
+    def _category_ids(self) -> DataFrame:
+        # The window runs over the distinct product types only, a handful of rows at any scale.
+        types = self._read("part").select("p_type").distinct()
+        return types.selectExpr("p_type", "CAST(dense_rank() OVER (ORDER BY p_type) AS string) AS category_id")
+
+    @cached_property
+    def categories(self) -> DataFrame:
+        used = self._category_ids.selectExpr(
+            "category_id AS CategoryID",
+            "' ' || p_type || ' ' AS CategoryName",
+            "lower(substring(p_type, 1, 2)) AS CategoryAbbreviation",
+        )
+        unused = self.spark.range(1).selectExpr(
+            "'99' AS CategoryID", "'UNUSED' AS CategoryName", "'un' AS CategoryAbbreviation"
+        )
+        return used.unionByName(unused)
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return (
+            self._read("part")
+            .join(self._category_ids, "p_type")
+            .selectExpr("*", "explode(sequence(0, CAST(p_partkey % 50 = 1 AS int))) AS copy")
+            .selectExpr(
+                "CASE WHEN p_partkey % 10 = 0 THEN ' P' || p_partkey || ' ' ELSE 'P' || p_partkey END AS ProdNumber",
+                "p_name || ' ' || p_partkey AS ProdName",
+                "CASE WHEN p_partkey % 97 = 5 THEN 'bad' ELSE category_id END AS Category",
+                """CASE WHEN p_partkey % 101 = 7 THEN '0' WHEN p_partkey % 103 = 9 THEN 'n/a'
+                        ELSE CAST(CAST(p_size * 2.5 + 2.49 AS decimal(10,2)) AS string) END AS Price""",
+            )
+        )
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return (
+            self._read("customer")
+            .join(self._read("nation").withColumnRenamed("n_nationkey", "c_nationkey"), "c_nationkey")
+            .selectExpr(
+                "CASE WHEN c_custkey % 53 = 11 THEN 'X' || c_custkey ELSE CAST(c_custkey AS string) END AS CustomerID",
+                "'Customer' AS FirstName",
+                "' ' || c_custkey || ' ' AS LastName",
+                """CASE WHEN c_custkey % 41 = 4 THEN 'bad-email-' || c_custkey
+                        WHEN c_custkey % 3 = 0 THEN 'C' || c_custkey || '@Example.com#mailto:C' || c_custkey || '@Example.com#'
+                        WHEN c_custkey % 3 = 1 THEN 'mailto:c' || c_custkey || '@example.com'
+                        ELSE 'c' || c_custkey || '@example.com' END AS CustomerEmail""",
+                "'+1 (555) ' || lpad(CAST(c_custkey AS string), 7, '0') AS CustomerPhone",
+                "' Street ' || c_custkey AS CustomerAddress",
+                """CASE WHEN c_custkey % 43 = 8 THEN '  ' WHEN c_custkey % 7 = 2 THEN n_name || ' '
+                        ELSE n_name END AS CustomerCity""",
+                "lower(c_mktsegment) AS CustomerState",
+                "lpad(CAST(c_nationkey AS string), 5, '0') AS CustomerZip",
+            )
+        )
+
+    @cached_property
+    def orders(self) -> DataFrame:
+        days = self._read("orders").selectExpr("o_orderkey AS l_orderkey", "o_custkey", "CAST(o_orderdate AS date) AS day")
+        return (
+            self._read("lineitem")
+            .join(days, "l_orderkey")
+            .selectExpr(
+                "CAST(l_orderkey AS string) AS OrderID",
+                """CASE WHEN l_orderkey % 3 = 0 THEN date_format(day, 'yyyy-MM-dd')
+                        WHEN l_orderkey % 3 = 2 AND day(day) > 12 THEN date_format(day, 'dd/MM/yyyy')
+                        ELSE date_format(day, 'MM/dd/yyyy') END AS Date""",
+                "CAST(o_custkey AS string) AS CustomerID",
+                "CASE WHEN l_partkey % 307 = 3 THEN 'ZZ' ELSE 'P' END || l_partkey AS ProdNumber",
+                """CASE WHEN (l_suppkey + l_linenumber) % 89 = 0 THEN '0'
+                        WHEN (l_suppkey + l_linenumber) % 97 = 0 THEN 'x'
+                        ELSE CAST(CAST(l_quantity AS bigint) AS string) END AS Quantity""",
+            )
         )
-    )
-
-
-def raw_customers(spark: SparkSession, folder: str) -> DataFrame:
-    key, text = F.col("c_custkey"), _text("c_custkey")
-    nation = read_parquet(spark, folder, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    customer = read_parquet(spark, folder, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
-    upper = F.concat(F.lit("C"), text, F.lit("@Example.com"))
-    lower = F.concat(F.lit("c"), text, F.lit("@example.com"))
-    return customer.join(nation, "c_nationkey").select(
-        F.when(key % 53 == 11, F.concat(F.lit("X"), text)).otherwise(text).alias("CustomerID"),
-        F.lit("Customer").alias("FirstName"),
-        F.concat(F.lit(" "), text, F.lit(" ")).alias("LastName"),
-        F.when(key % 41 == 4, F.concat(F.lit("bad-email-"), text))
-        .when(key % 3 == 0, F.concat(upper, F.lit("#mailto:"), upper, F.lit("#")))
-        .when(key % 3 == 1, F.concat(F.lit("mailto:"), lower))
-        .otherwise(lower)
-        .alias("CustomerEmail"),
-        F.concat(F.lit("+1 (555) "), F.lpad(text, 7, "0")).alias("CustomerPhone"),
-        F.concat(F.lit(" Street "), text).alias("CustomerAddress"),
-        F.when(key % 43 == 8, "  ").when(key % 7 == 2, F.concat("n_name", F.lit(" "))).otherwise(F.col("n_name")).alias("CustomerCity"),
-        F.lower("c_mktsegment").alias("CustomerState"),
-        F.lpad(_text("c_nationkey"), 5, "0").alias("CustomerZip"),
-    )
-
-
-def raw_orders(spark: SparkSession, folder: str) -> DataFrame:
-    lines = read_parquet(spark, folder, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity")
-    orders = read_parquet(spark, folder, "orders").select(
-        F.col("o_orderkey").alias("l_orderkey"), "o_custkey", F.col("o_orderdate").cast("date").alias("day")
-    )
-    order, part, mix = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey") + F.col("l_linenumber")
-    return lines.join(orders, "l_orderkey").select(
-        _text(order).alias("OrderID"),
-        F.when(order % 3 == 0, F.date_format("day", "yyyy-MM-dd"))
-        .when((order % 3 == 2) & (F.dayofmonth("day") > 12), F.date_format("day", "dd/MM/yyyy"))
-        .otherwise(F.date_format("day", "MM/dd/yyyy"))
-        .alias("Date"),
-        _text("o_custkey").alias("CustomerID"),
-        F.concat(F.when(part % 307 == 3, "ZZ").otherwise("P"), _text(part)).alias("ProdNumber"),
-        F.when(mix % 89 == 0, "0").when(mix % 97 == 0, "x").otherwise(_text(F.col("l_quantity").cast("bigint"))).alias("Quantity"),
-    )
