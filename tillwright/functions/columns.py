@@ -27,7 +27,7 @@ WHITE_SPACE = (
     " \t\n\x0b\x0c\r\x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
-_DATE_PARTS = {"%Y": r"(\d{4})", "%m": r"(\d{1,2})", "%d": r"(\d{1,2})"}
+_DATE_PARTS = {"%Y": r"\d{4}", "%m": r"\d{1,2}", "%d": r"\d{1,2}"}
 
 
 def col(c: Column | str) -> Column:
@@ -83,20 +83,25 @@ def safe_decimal(c: Column | str, data_type: str = PRICE_TYPE) -> Column:
     return col(c).try_cast(data_type)
 
 
-def safe_date(c: Column | str, formats: Sequence[str] = DATE_FORMATS) -> Column:
+def safe_date(c: Column | str, formats: Sequence[str] = DATE_FORMATS, trimmed: bool = False) -> Column:
     """First of ``formats`` that yields a valid date, else NULL.
 
-    A format is turned into a pattern and the text is rearranged to ISO order, because casting an ISO string is
-    cheap and silent on bad input, while a formatter raises (and catches) an exception for every miss.
+    A format is ``%Y``, ``%m`` and ``%d`` in any order around one separator. The text is checked against the shape of
+    the format, split, and put in ISO order, because casting an ISO text is cheap and silent on bad input, while a
+    date formatter raises (and catches) an exception for every miss.
     """
-    text = trim_all(c)
-    attempts = []
+    text = col(c) if trimmed else trim_all(c)
+    by_shape: dict[str, list[Column]] = {}
     for fmt in formats:
-        order = re.findall("%[Ymd]", fmt)
-        pattern = "^" + re.sub("%[Ymd]", lambda m: _DATE_PARTS[m.group()], re.sub(r"([.()\[\]+*?])", r"\\\1", fmt)) + "$"
-        iso = "-".join(f"${order.index(part) + 1}" for part in ("%Y", "%m", "%d"))
-        attempts.append(F.when(text.rlike(pattern), F.regexp_replace(text, pattern, iso).try_cast("date")))
-    return F.coalesce(*attempts)
+        order, separator = re.findall("%[Ymd]", fmt), fmt[2:3]
+        if sorted(order) != ["%Y", "%d", "%m"] or separator.join(order) != fmt:
+            raise ValueError(f"not a date format with one separator: {fmt}")
+        shape = "^" + re.escape(separator).join(_DATE_PARTS[part] for part in order) + "$"
+        pieces = F.split(text, re.escape(separator))
+        ordered = [pieces[order.index(part)] for part in ("%Y", "%m", "%d")]
+        iso = text if fmt == "%Y-%m-%d" else F.concat_ws("-", *ordered)
+        by_shape.setdefault(shape, []).append(iso.try_cast("date"))
+    return F.coalesce(*[F.when(text.rlike(shape), F.coalesce(*dates)) for shape, dates in by_shape.items()])
 
 
 # ---- calendar -----------------------------------------------------------------------------------------------

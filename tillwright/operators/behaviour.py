@@ -9,7 +9,6 @@ from pyspark.sql.window import Window as W
 from tillwright.functions import columns as C
 from tillwright.operators.metrics import PRODUCT, first_month, moving_average, per_key, v_sales_monthly
 from tillwright.operators.scale import global_ntile, global_running
-from tillwright.session import materialise
 
 # Number of score classes, the Pareto cut and the assumed margin.
 SCORES = 5
@@ -44,22 +43,38 @@ def rfm_segment() -> Column:
 def view_rfm(lines: DataFrame) -> DataFrame:
     """Quintile scores over all customers, ties broken by the customer key.
 
-    The three rankings are global, so each sorts the customers over all tasks (``scale.global_ntile``).
+    The three rankings are global. Each customer becomes three rows (measure, value), so that one sort over all tasks
+    ranks all measures (``scale.global_ntile``), and the scores are folded back onto one row per customer. Recency is
+    ranked by the negative day number of the last purchase, which needs no reference date.
     """
-    customers = materialise(customer_days(lines), "customers")
-    reference = customers.agg(F.max("last_purchase")).scalar()
-    scored = customers.select(
+    number = "decimal(38,2)"
+    measures = customer_days(lines).select(
         "customer_sk",
-        C.days_between(reference, "last_purchase").alias("recency_days"),
-        F.col("orders_proxy").alias("frequency_orders"),
-        F.col("revenue_total").alias("monetary_value"),
+        F.explode(
+            F.array(
+                F.struct(F.lit("r").alias("measure"), (-F.unix_date("last_purchase")).cast(number).alias("value")),
+                F.struct(F.lit("f").alias("measure"), F.col("orders_proxy").cast(number).alias("value")),
+                F.struct(F.lit("m").alias("measure"), F.col("revenue_total").cast(number).alias("value")),
+            )
+        ).alias("m"),
+    ).select("customer_sk", "m.measure", "m.value")
+    tiled = global_ntile(measures, SCORES, [F.asc("value"), F.asc("customer_sk")], "tile", by=["measure"])
+
+    def of(measure: str, c: str) -> Column:
+        return F.max(F.when(F.col("measure") == measure, F.col(c)))
+
+    scored = tiled.groupBy("customer_sk").agg(
+        of("r", "value").cast("bigint").alias("age"),
+        of("f", "value").cast("bigint").alias("frequency_orders"),
+        of("m", "value").alias("monetary_value"),
+        (F.lit(SCORES + 1) - of("r", "tile")).alias("r_score"),
+        of("f", "tile").alias("f_score"),
+        of("m", "tile").alias("m_score"),
     )
-    for value, score in (("recency_days", "r_tile"), ("frequency_orders", "f_score"), ("monetary_value", "m_score")):
-        scored = global_ntile(scored, SCORES, [F.asc(value), F.asc("customer_sk")], score)
-    scored = scored.withColumn("r_score", F.lit(SCORES + 1) - F.col("r_tile"))
+    latest = tiled.filter(F.col("measure") == "r").agg(F.min("value").cast("bigint")).scalar()
     return scored.select(
         "customer_sk",
-        "recency_days",
+        (F.col("age") - latest).alias("recency_days"),
         "frequency_orders",
         "monetary_value",
         "r_score",

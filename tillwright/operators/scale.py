@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from tillwright.session import materialise
+from tillwright.session import broadcast_if_small, materialise
 
 # monotonically_increasing_id() holds the partition in the bits above 33 and the row within it below.
 _ROW_BITS = 33
@@ -61,7 +61,7 @@ def global_ntile(df: DataFrame, n: int, order: Sequence[Column], name: str = "nt
         )
         same = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]
         numbered = (
-            numbered.join(groups, same)
+            numbered.join(broadcast_if_small(groups), same)
             .withColumn("_rn", F.col("_rn") - F.col("_start"))
             .withColumn("_n", F.col("_size"))
         )

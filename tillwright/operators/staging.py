@@ -64,10 +64,15 @@ def stg_products(raw: DataFrame, price_type: str = C.PRICE_TYPE) -> DataFrame:
 
 
 def typed_orders(raw: DataFrame, formats: Sequence[str] = C.DATE_FORMATS) -> DataFrame:
-    """Order lines with typed columns, a valid date and a positive quantity; foreign keys are not checked."""
-    typed = raw.select(
+    """Order lines with typed columns, a valid date and a positive quantity; foreign keys are not checked.
+
+    The date passes through an array of one element. The test for a valid date then stays above the parsing; without
+    that, the optimizer moves the test into the scan and every date is parsed twice.
+    """
+    trimmed = raw.withColumn("Date", C.trim_all("Date"))
+    typed = trimmed.select(
         C.safe_int("OrderID").alias("OrderID"),
-        C.safe_date("Date", formats).alias("OrderDate"),
+        F.explode(F.array(C.safe_date("Date", formats, trimmed=True))).alias("OrderDate"),
         C.safe_int("CustomerID").alias("CustomerID"),
         C.trim_all("ProdNumber").alias("ProdNumber"),
         C.safe_int("Quantity").alias("Quantity"),

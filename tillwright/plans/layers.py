@@ -10,6 +10,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillwright.operators import enrich, master, metrics, star, staging
 from tillwright.session import materialise
@@ -17,6 +18,23 @@ from tillwright.sources import files, retail
 from tillwright.sources.sequences import date_bounds
 
 
+# What the dimensions, the fact and the checks need from a line.
+STAR_COLUMNS = (
+    "date_key",
+    "order_date",
+    "order_ym",
+    "customer_sk",
+    "customer_email",
+    "city",
+    "product_sk",
+    "product_name",
+    "category_name",
+    "order_qty",
+    "total_sales",
+    "product_price",
+)
+
+
 class Layers:
     def __init__(self, raw: retail.RawTables):
         self.raw = raw
@@ -75,9 +93,13 @@ class Layers:
     def lines(self) -> DataFrame:
         return star.sales_lines(self._master(keys=True))
 
+    def stored(self, *columns: str) -> DataFrame:
+        """The named columns of the sales lines, stored; for views that read the lines more than once."""
+        return materialise(self.lines.select(*columns), "lines")
+
     @cached_property
     def stored_lines(self) -> DataFrame:
-        return materialise(self.lines, "lines")
+        return self.stored(*STAR_COLUMNS)
 
     @cached_property
     def dates(self) -> DataFrame:
@@ -106,18 +128,20 @@ class Layers:
         return metrics.v_sales_monthly(self.lines)
 
 
-# The tables of a full build, in dependency order, with their partition column.
-TABLES = {
+# The tables of a full build in dependency order. The line tables are stored by month: their month column, or the
+# expression that gives one. Readers see the columns of the table only, and files of one month have narrow date ranges,
+# so a date filter skips the other months either way.
+TABLES: dict[str, str | None] = {
     "stg_customers": None,
     "stg_product_category": None,
     "stg_products": None,
     "stg_orders": "order_ym",
-    "master_sales": None,
+    "master_sales": "date_format(order_date, 'yyyy-MM')",
     "master_sales_ext": "order_ym",
     "dim_date": None,
     "dim_customer": None,
     "dim_product": None,
-    "fact_sales": None,
+    "fact_sales": "date_key div 100",
 }
 
 
@@ -130,9 +154,11 @@ def build(spark: SparkSession, raw: retail.RawTables, folder: str, tiers_per_yea
 
     def store(name: str, df: DataFrame) -> DataFrame:
         path = f"{folder.rstrip('/')}/{name}"
-        partition = TABLES[name]
-        files.write_parquet(df, path, [partition] if partition else [])
-        stored[name] = spark.read.schema(df.schema).parquet(path)
+        month = TABLES[name]
+        laid_out = df if month is None or month in df.columns else df.withColumn("stored_month", F.expr(month))
+        column = month if month in df.columns else "stored_month"
+        files.write_parquet(laid_out, path, [column] if month else [])
+        stored[name] = spark.read.schema(laid_out.schema).parquet(path).select(*df.columns)
         return stored[name]
 
     customers = store("stg_customers", staging.stg_customers(raw.customers))

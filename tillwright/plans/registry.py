@@ -506,6 +506,8 @@ _ORDERS = "count(DISTINCT (customer_sk, date_key))"
 _AOV = f"{_ORDERS} AS orders_proxy, sum(total_sales)::DOUBLE / {_ORDERS} AS aov_proxy"
 _BUYERS = "count(DISTINCT customer_sk)"
 
+_PRODUCT = ("product_sk", "product_name", "category_name")
+
 _add("v_base_sales", lambda L: L.base, f"SELECT {_columns(dm.BASE_COLUMNS)} FROM base")
 _add(
     "v_sales_daily",
@@ -556,7 +558,7 @@ _add(
 )
 _add(
     "v_city_category_monthly",
-    lambda L: mv.v_city_category_monthly(L.lines),
+    lambda L: mv.v_city_category_monthly(L.stored("order_date", "order_ym", "customer_sk", "city", *_PRODUCT, "order_qty", "total_sales")),
     f"SELECT order_ym, city, category_name, {_SUMS} FROM base GROUP BY ALL",
 )
 _add(
@@ -572,7 +574,7 @@ _add(
 )
 _add(
     "v_aov_category_monthly",
-    lambda L: mv.v_aov_category_monthly(L.lines),
+    lambda L: mv.v_aov_category_monthly(L.stored("order_date", "order_ym", "date_key", "customer_sk", *_PRODUCT, "total_sales")),
     f"SELECT order_ym, category_name, sum(total_sales)::DOUBLE AS sales, {_AOV} FROM base GROUP BY order_ym, category_name",
 )
 _add(

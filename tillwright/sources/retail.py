@@ -99,7 +99,8 @@ class TestDataTables(RawTables):
         days = self._read("orders").selectExpr("o_orderkey AS l_orderkey", "o_custkey", "CAST(o_orderdate AS date) AS day")
         return (
             self._read("lineitem")
-            .join(days, "l_orderkey")
+            # Both sides grow with the data, so this join is never a broadcast one.
+            .join(days.hint("merge"), "l_orderkey")
             .selectExpr(
                 "CAST(l_orderkey AS string) AS OrderID",
                 """CASE WHEN l_orderkey % 3 = 0 THEN date_format(day, 'yyyy-MM-dd')
