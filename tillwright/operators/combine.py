@@ -1,4 +1,4 @@
-"""One-row results placed side by side."""
+"""Joins of lines with their dimensions, and one-row results placed side by side."""
 
 from __future__ import annotations
 
@@ -15,3 +15,19 @@ def one_row(*frames: DataFrame) -> DataFrame:
     """
     stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     return stacked.agg(*[F.max(c).alias(c) for f in frames for c in f.columns])
+
+
+def join_lines(lines: DataFrame, table: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join of a line table with a table that is unique on ``key``, safe against a hot key.
+
+    Adaptive execution splits the partition of a hot key over several tasks, but only when both inputs of the join are
+    plain exchanges. A deduplicated or aggregated table arrives partitioned by the key already, and would be joined
+    without one. The hash as second join key gives each side an exchange of its own; that costs one more shuffle of the
+    smaller table. Small tables are still broadcast, by their measured size.
+    """
+    spread = F.xxhash64(key)
+    return (
+        lines.withColumn("_spread", spread)
+        .join(table.withColumn("_spread", spread), [key, "_spread"], how)
+        .drop("_spread")
+    )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwright.functions import columns as C
+from tillwright.operators.combine import join_lines
 
 MASTER_COLUMNS = (
     "cust_email",
@@ -30,7 +31,7 @@ def master_sales(
     per customer and product instead of once per line.
     """
     product = (
-        products.join(categories, "CategoryID")
+        join_lines(products, categories, "CategoryID")
         .select(
             "ProdNumber",
             F.col("ProdName").alias("product_name"),
@@ -42,21 +43,17 @@ def master_sales(
     customer = customers.select(
         "CustomerID", F.col("CustomerEmail").alias("cust_email"), F.col("CustomerCity").alias("cust_city")
     ).withColumn("customer_sk", C.customer_key("cust_email"))
-    return (
-        orders.select("CustomerID", "ProdNumber", "OrderDate", "Quantity")
-        .join(customer, "CustomerID")
-        .join(product, "ProdNumber")
-        .select(
-            "cust_email",
-            "cust_city",
-            F.col("OrderDate").alias("order_date"),
-            F.col("Quantity").alias("order_qty"),
-            "product_name",
-            "product_price",
-            "category_name",
-            (F.col("Quantity").cast(C.QTY_TYPE) * F.col("product_price")).alias("total_sales"),
-            *(["customer_sk", "product_sk"] if keys else []),
-        )
+    lines = orders.select("CustomerID", "ProdNumber", "OrderDate", "Quantity")
+    return join_lines(join_lines(lines, customer, "CustomerID"), product, "ProdNumber").select(
+        "cust_email",
+        "cust_city",
+        F.col("OrderDate").alias("order_date"),
+        F.col("Quantity").alias("order_qty"),
+        "product_name",
+        "product_price",
+        "category_name",
+        (F.col("Quantity").cast(C.QTY_TYPE) * F.col("product_price")).alias("total_sales"),
+        *(["customer_sk", "product_sk"] if keys else []),
     )
 
 

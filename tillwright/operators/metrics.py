@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from tillwright.functions import columns as C
+from tillwright.operators.combine import join_lines
 from tillwright.operators.scale import global_running
 from tillwright.operators.star import label_table
 from tillwright.sources.sequences import month_calendar
@@ -149,8 +150,8 @@ def v_city_category_monthly(lines: DataFrame) -> DataFrame:
     categories = label_table(lines, "product_sk", PRODUCT).select("product_sk", "category_name")
     cities = label_table(lines, "customer_sk", CITY)
     products = rollup(lines, ["order_ym", "customer_sk", "product_sk"])
-    customers = resum(products.join(categories, "product_sk"), ["order_ym", "customer_sk", "category_name"])
-    return resum(customers.join(cities, "customer_sk"), ["order_ym", "city", "category_name"])
+    customers = resum(join_lines(products, categories, "product_sk"), ["order_ym", "customer_sk", "category_name"])
+    return resum(join_lines(customers, cities, "customer_sk"), ["order_ym", "city", "category_name"])
 
 
 def v_price_bucket_distribution(lines: DataFrame) -> DataFrame:
@@ -182,9 +183,9 @@ def v_customer_activity(lines: DataFrame) -> DataFrame:
 
 def v_aov_category_monthly(lines: DataFrame) -> DataFrame:
     categories = label_table(lines, "product_sk", PRODUCT).select("product_sk", "category_name")
+    narrow = lines.select("order_ym", "customer_sk", "date_key", "product_sk", "total_sales")
     baskets = (
-        lines.select("order_ym", "customer_sk", "date_key", "product_sk", "total_sales")
-        .join(categories, "product_sk")
+        join_lines(narrow, categories, "product_sk")
         .groupBy("order_ym", "category_name", "customer_sk", "date_key")
         .agg(F.sum("total_sales").alias("sales"))
     )

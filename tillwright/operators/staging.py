@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillwright.functions import columns as C
-from tillwright.operators.combine import one_row
+from tillwright.operators.combine import join_lines, one_row
 from tillwright.operators.profiling import row_counts, rows_without_partner
 from tillwright.sources.files import schema_snapshot
 
@@ -91,11 +91,9 @@ def stg_orders(
 
     Order numbers are not unique by default; ``dedup=True`` keeps the smallest line of each.
     """
-    lines = (
-        typed_orders(raw, formats)
-        .join(customers.select("CustomerID"), "CustomerID", "left_semi")
-        .join(products.select("ProdNumber"), "ProdNumber", "left_semi")
-        .select("OrderID", "OrderDate", "CustomerID", "ProdNumber", "Quantity", "order_ym")
+    lines = join_lines(typed_orders(raw, formats), customers.select("CustomerID"), "CustomerID", "left_semi")
+    lines = join_lines(lines, products.select("ProdNumber"), "ProdNumber", "left_semi").select(
+        "OrderID", "OrderDate", "CustomerID", "ProdNumber", "Quantity", "order_ym"
     )
     return first_per_key(lines, "OrderID") if dedup else lines
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillwright.functions import columns as C
-from tillwright.operators.combine import one_row
+from tillwright.operators.combine import join_lines, one_row
 from tillwright.sources.sequences import day_calendar
 
 BASE_COLUMNS = (
@@ -111,13 +111,11 @@ def fact_sales(lines: DataFrame, dates: DataFrame, customers: DataFrame, product
 
     The dimensions are unique on their keys and no column of theirs is taken, hence semi joins.
     """
-    return (
-        lines.select("date_key", "customer_sk", "product_sk", "order_qty", "total_sales", "product_price")
-        .join(dates.select("date_key"), "date_key", "left_semi")
-        .join(customers.select("customer_sk"), "customer_sk", "left_semi")
-        .join(products.select("product_sk"), "product_sk", "left_semi")
-        .select("date_key", "customer_sk", "product_sk", "order_qty", "total_sales", "product_price")
-    )
+    columns = ["date_key", "customer_sk", "product_sk", "order_qty", "total_sales", "product_price"]
+    fact = lines.select(*columns)
+    for key, dimension in (("date_key", dates), ("customer_sk", customers), ("product_sk", products)):
+        fact = join_lines(fact, dimension.select(key), key, "left_semi")
+    return fact.select(*columns)
 
 
 def v_base_sales(fact: DataFrame, dates: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
@@ -132,12 +130,8 @@ def v_base_sales(fact: DataFrame, dates: DataFrame, customers: DataFrame, produc
         "day_of_week_num",
         "day_of_week_name",
     )
-    return (
-        fact.join(calendar, "date_key")
-        .join(customers, "customer_sk")
-        .join(products, "product_sk")
-        .select(*BASE_COLUMNS)
-    )
+    joined = join_lines(join_lines(fact, calendar, "date_key"), customers, "customer_sk")
+    return join_lines(joined, products, "product_sk").select(*BASE_COLUMNS)
 
 
 # ---- checks -------------------------------------------------------------------------------------------------
