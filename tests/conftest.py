@@ -6,8 +6,9 @@ SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session(8, shuffle_partitions=4, app="tillwright-tests")
+def spark(tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("shared"))
+    session = local_session(8, shuffle_partitions=4, app="tillwright-tests", conf={"spark.checkpoint.dir": folder})
     yield session
     session.stop()
 

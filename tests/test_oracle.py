@@ -5,12 +5,12 @@ import pytest
 from tests.compare import connect, difference
 from tests.conftest import SMALL
 from tillwright.plans import registry
-from tillwright.plans.layers import Layers
+from tillwright.plans.layers import Layers, StoredLayers
 
 
 @pytest.fixture(scope="module")
 def layers(spark):
-    return Layers.from_test_data(spark, SMALL)
+    return StoredLayers(Layers.from_test_data(spark, SMALL))
 
 
 @pytest.fixture(scope="module")

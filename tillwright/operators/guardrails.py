@@ -11,7 +11,7 @@ from pyspark.sql.window import Window as W
 from tillwright.functions import columns as C
 from tillwright.operators.combine import one_row
 from tillwright.operators.metrics import resum, rollup
-from tillwright.operators.scale import BLOCK_ROWS, global_row_number
+from tillwright.operators.scale import BLOCK_ROWS, block_of, global_row_number
 from tillwright.sources.sequences import month_calendar
 
 # Tolerances.
@@ -168,13 +168,13 @@ def cohort_semantics(cohort: DataFrame) -> DataFrame:
 def pareto_curve(pareto: DataFrame, block: int = BLOCK_ROWS) -> DataFrame:
     """The curve must not fall along (rank, product key) and must end at 1.
 
-    The products are numbered along that order over all tasks and compared with their predecessor inside blocks of
-    ``block`` rows; the first row of a block is compared with the last of the block before.
+    The products are numbered along that order over all tasks and compared with their predecessor inside blocks of at
+    least ``block`` rows; the first row of a block is compared with the last of the block before.
     """
     share = F.col("cumulative_share")
     curve = pareto.select("product_sk", "sales_rank", "cumulative_share")
-    numbered = global_row_number(curve, [F.col("sales_rank"), F.col("product_sk")], "position")
-    blocked = numbered.withColumn("block", F.expr(f"(position - 1) div {block}"))
+    numbered = global_row_number(curve, [F.col("sales_rank"), F.col("product_sk")], "position", "rows")
+    blocked = numbered.withColumn("block", block_of("position", "rows", block))
     steps = blocked.withColumn("previous", F.lag(share).over(W.partitionBy("block").orderBy("position")))
     runs = steps.groupBy("block").agg(
         F.count_if(share < F.col("previous")).alias("falls"),

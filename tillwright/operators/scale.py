@@ -7,7 +7,8 @@ number the rows inside each sorted piece, and add what lies before the piece. Tw
   sample and must not be drawn a second time for the offsets;
 * the sort order must end in a unique key, so that a recomputed piece numbers its rows in the same way.
 
-Only the offsets are broadcast: one row per sorted piece, or one per ``block`` rows.
+Only the offsets are broadcast: one row per sorted piece (as many as the sort has partitions), or one per block of rows
+(at most ``MAX_BLOCKS``).
 """
 
 from __future__ import annotations
@@ -23,6 +24,13 @@ from tillwright.session import broadcast_if_small, materialise
 # monotonically_increasing_id() holds the partition in the bits above 33 and the row within it below.
 _ROW_BITS = 33
 BLOCK_ROWS = 100_000
+# Blocks grow with the table, so that there are never more than this many and their totals can be broadcast.
+MAX_BLOCKS = 100_000
+
+
+def block_of(position: str, rows: str, block: int = BLOCK_ROWS) -> Column:
+    """Number of the block that holds a 1-based position."""
+    return F.expr(f"({position} - 1) div greatest({block}L, {rows} div {MAX_BLOCKS} + 1)")
 
 
 def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "row_number", total: str | None = None) -> DataFrame:
@@ -82,10 +90,10 @@ def global_running(
     """Running sum of ``total_of`` and/or dense rank of ``dense_by`` along ``order``.
 
     ``order`` must start with ``dense_by`` for the rank to mean anything. The numbered rows are cut into blocks of
-    ``block`` rows, every block is scanned by itself, and the totals of the blocks before it are added. With
+    at least ``block`` rows, every block is scanned by itself, and the totals of the blocks before it are added. With
     ``grand_total`` the sum over all rows is put on each row too.
     """
-    numbered = global_row_number(df, order, "_rn").withColumn("_block", F.expr(f"(_rn - 1) div {block}"))
+    numbered = global_row_number(df, order, "_rn", "_n").withColumn("_block", block_of("_rn", "_n", block))
     in_block = W.partitionBy("_block").orderBy("_rn")
     so_far = in_block.rowsBetween(W.unboundedPreceding, 0)
     scanned, per_block, before = numbered, [], []

@@ -1,8 +1,8 @@
 """From raw tables to staging, master, enriched master and star schema.
 
-``Layers`` wires the operators together lazily: reading an attribute builds a plan, not a result. The ``stored_*``
-attributes write their table once, in the shared folder of the session, for plans that read it several times.
-``build`` writes every layer for good.
+``Layers`` wires the operators together: reading an attribute builds a plan, never a result, so one object can serve any
+number of queries. ``StoredLayers`` adds what one query wants written down, because it reads it several times; its tables
+go to the shared folder of the session and belong to that query alone. ``build`` writes every layer for good.
 """
 
 from __future__ import annotations
@@ -79,28 +79,42 @@ class Layers:
     def master(self) -> DataFrame:
         return self._master(keys=False)
 
+    # sales lines and metrics
+
     @cached_property
-    def stored_master(self) -> DataFrame:
-        return materialise(self.master, "master")
+    def lines(self) -> DataFrame:
+        return star.sales_lines(self._master(keys=True))
 
     @cached_property
-    def ext(self) -> DataFrame:
-        return enrich.master_sales_ext(self.stored_master)
+    def monthly(self) -> DataFrame:
+        return metrics.v_sales_monthly(self.lines)
 
-    # star schema
 
-    @cached_property
-    def lines(self) -> DataFrame:
-        return star.sales_lines(self._master(keys=True))
+class StoredLayers:
+    """The plans of ``layers``, and the tables that one query stores on the way."""
+
+    def __init__(self, layers: Layers):
+        self.layers = layers
+
+    def __getattr__(self, name: str):
+        return getattr(self.layers, name)
 
     def stored(self, *columns: str) -> DataFrame:
         """The named columns of the sales lines, stored; for views that read the lines more than once."""
-        return materialise(self.lines.select(*columns), "lines")
+        return materialise(self.layers.lines.select(*columns), "lines")
+
+    @cached_property
+    def stored_master(self) -> DataFrame:
+        return materialise(self.layers.master, "master")
 
     @cached_property
     def stored_lines(self) -> DataFrame:
         return self.stored(*STAR_COLUMNS)
 
+    @cached_property
+    def ext(self) -> DataFrame:
+        return enrich.master_sales_ext(self.stored_master)
+
     @cached_property
     def dates(self) -> DataFrame:
         return star.dim_date(date_bounds(self.stored_lines))
@@ -121,12 +135,6 @@ class Layers:
     def base(self) -> DataFrame:
         return star.v_base_sales(self.fact, self.dates, self.customer_dim, self.product_dim)
 
-    # metrics
-
-    @cached_property
-    def monthly(self) -> DataFrame:
-        return metrics.v_sales_monthly(self.lines)
-
 
 # The tables of a full build in dependency order. The line tables are stored by month: their month column, or the
 # expression that gives one. Readers see the columns of the table only, and files of one month have narrow date ranges,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from typing import NamedTuple
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,21 +19,21 @@ from tillwright.operators import profiling as dq
 from tillwright.operators import semantic as sl
 from tillwright.operators import staging as st
 from tillwright.operators import star as dm
-from tillwright.plans.layers import Layers
+from tillwright.plans.layers import Layers, StoredLayers
 from tillwright.plans.oracle import sql
 from tillwright.session import tune
 from tillwright.sources import files, sequences
 
 
 class Query(NamedTuple):
-    run: Callable[[Layers], DataFrame]
+    run: Callable[[StoredLayers], DataFrame]
     oracle: str | None = None
 
 
 QUERIES: dict[str, Query] = {}
 
 
-def _add(name: str, run: Callable[[Layers], DataFrame], body: str | None = None) -> None:
+def _add(name: str, run: Callable[[StoredLayers], DataFrame], body: str | None = None) -> None:
     QUERIES[name] = Query(run, sql(body) if body else None)
 
 
@@ -57,7 +58,7 @@ def rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
     return df.withColumns({name: F.round(name, digits) for name in names})
 
 
-def _spark(layers: Layers) -> SparkSession:
+def _spark(layers: StoredLayers) -> SparkSession:
     return layers.raw.categories.sparkSession
 
 
@@ -684,12 +685,10 @@ _DIFFS = ", ".join(
 )
 
 
-def _global_parity(L: Layers) -> DataFrame:
+def _global_parity(L: StoredLayers) -> DataFrame:
+    lines = L.stored("order_date", "customer_sk", "city", *_PRODUCT, "order_qty", "total_sales")
     df = guard.global_parity(
-        L.stored_lines,
-        mv.v_category_performance(L.stored_lines),
-        mv.v_city_performance(L.stored_lines),
-        mv.v_top_products(L.stored_lines),
+        lines, mv.v_category_performance(lines), mv.v_city_performance(lines), mv.v_top_products(lines)
     )
     return df.select(*[F.col(c).cast("double").alias(c) for c in df.columns])
 
@@ -835,13 +834,13 @@ for _field in _FIELD_SQL:
     _field_query(_field)
 
 
-def _metric_query(name: str, metrics: tuple[str, ...], by: tuple[str, ...], source: Callable[[Layers], DataFrame]) -> None:
+def _metric_query(name: str, metrics: tuple[str, ...], by: tuple[str, ...], source: Callable[[StoredLayers], DataFrame]) -> None:
     keys = ", ".join(f"{_FIELD_SQL[b]} AS {b}" if b in _FIELD_SQL else b for b in by)
     values = ", ".join(f"{_METRIC_SQL[m]} AS {m}" for m in metrics)
     _add(name, lambda L: sl.summarise(source(L), metrics, by), f"SELECT {keys + ', ' if keys else ''}{values} FROM ext GROUP BY ALL")
 
 
-def _plain(L: Layers) -> DataFrame:
+def _plain(L: StoredLayers) -> DataFrame:
     """Fields and metrics that need no customer history read the master table directly."""
     return ex.with_price_bucket(L.master)
 
@@ -884,7 +883,7 @@ for _metric, _expression in (("Sales", _SALES), ("Qty", "sum(order_qty)::BIGINT"
     )
 
 
-def _filter_query(name: str, run: Callable[[Layers], DataFrame], rule: str) -> None:
+def _filter_query(name: str, run: Callable[[StoredLayers], DataFrame], rule: str) -> None:
     _add(
         name,
         lambda L: run(L).groupBy("category_name").agg(F.count("*").alias("line_count"), F.sum("total_sales").alias("sales")),
@@ -938,6 +937,13 @@ _add(
 # ---- driver interface ---------------------------------------------------------------------------------------
 
 
+# Plans only, no data: the layers of a folder are wired once per session. What a query stores is its own.
+_PLANS: WeakKeyDictionary[SparkSession, dict[str, Layers]] = WeakKeyDictionary()
+
+
 def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
     """One registered query over the test data in ``folder``."""
-    return portable(QUERIES[name].run(Layers.from_test_data(tune(spark), folder)))
+    known = _PLANS.setdefault(tune(spark), {})
+    if folder not in known:
+        known[folder] = Layers.from_test_data(spark, folder)
+    return portable(QUERIES[name].run(StoredLayers(known[folder])))

@@ -16,7 +16,9 @@ RUNTIME_CONF = {
 }
 
 
-def local_session(cpus: str | int = "*", shuffle_partitions: int = 8, app: str = "tillwright") -> SparkSession:
+def local_session(
+    cpus: str | int = "*", shuffle_partitions: int = 8, app: str = "tillwright", conf: dict[str, str] | None = None
+) -> SparkSession:
     """Single-machine session for tests and benchmarks; a cluster brings its own."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
@@ -26,7 +28,7 @@ def local_session(cpus: str | int = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.driver.memory", "8g")
         .config("spark.sql.warehouse.dir", tempfile.gettempdir() + "/tillwright-warehouse")
     )
-    for name, value in RUNTIME_CONF.items():
+    for name, value in {**RUNTIME_CONF, **(conf or {})}.items():
         builder = builder.config(name, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
