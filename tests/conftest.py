@@ -7,8 +7,11 @@ SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    folder = str(tmp_path_factory.mktemp("shared"))
-    session = local_session(8, shuffle_partitions=4, app="tillwright-tests", conf={"spark.checkpoint.dir": folder})
+    conf = {
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+    }
+    session = local_session(8, shuffle_partitions=4, app="tillwright-tests", conf=conf)
     yield session
     session.stop()
 

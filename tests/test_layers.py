@@ -202,5 +202,8 @@ def test_csv_sources_and_sinks(spark, tmp_path, rows):
     assert rows(files.read_csv(spark, str(tmp_path / "out"), files.RAW_PRODUCT)) == rows(goods)
     files.write_parquet(goods, str(tmp_path / "table"), ["Category"])
     assert rows(spark.read.parquet(str(tmp_path / "table")), "ProdNumber") == [("B1",)]
+    for _ in range(2):
+        files.write_table(goods, "stored_goods", ["Category"])
+    assert rows(files.read_table(spark, "stored_goods"), "ProdNumber", "Price") == [("B1", "9.99")]
     files.register_views({"goods": goods})
     assert files.read_table(spark, "goods").count() == 1
