@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import quality
+from tillwright.llm import decontamination, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,7 +25,54 @@ def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontamination.find(docs, table(spark, sf_dir, "benchmark")).select(
+        "doc_id",
+        "n_words",
+        decontamination.n_hit().alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality_classifier": quality_classifier,
+    "op9_benchmark_decontamination": benchmark_decontamination,
+}
+# Windows by position: every run of ten words (or all words of a shorter item) is one row, and rows meet by their text.
+_DECONTAMINATION_SQL = """
+WITH dw AS (
+  SELECT doc_id, row_number() OVER () AS r,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents
+), iw AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, list_filter(
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w
+  FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL
+), win AS (
+  SELECT DISTINCT item, least(10, len(w)) AS n, array_to_string(list_slice(w, s, s + least(10, len(w)) - 1), ' ') AS g
+  FROM (SELECT item, w, unnest(generate_series(1, len(w) - least(10, len(w)) + 1)) AS s FROM iw WHERE len(w) > 0)
+), pos AS (
+  SELECT r, w, n, unnest(generate_series(1, len(w) - n + 1)) AS s
+  FROM dw, (SELECT DISTINCT n FROM win) WHERE len(w) >= n
+), hit AS (
+  SELECT r, s, pos.n, item
+  FROM pos JOIN win ON win.n = pos.n AND win.g = array_to_string(list_slice(w, s, s + pos.n - 1), ' ')
+), words AS (
+  SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(generate_series(s, s + n - 1)) AS p FROM hit) GROUP BY r
+), found AS (
+  SELECT r, count(DISTINCT item) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT r, item FROM hit) GROUP BY r
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN words USING (r) LEFT JOIN found USING (r)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op9_benchmark_decontamination": _DECONTAMINATION_SQL,
 }
-ORACLE_SQL: dict[str, str] = {}
