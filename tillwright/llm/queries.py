@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import decontamination, quality
+from tillwright.llm import decontamination, near_dedup, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,9 +37,14 @@ def benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle_words=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality_classifier": quality_classifier,
     "op9_benchmark_decontamination": benchmark_decontamination,
+    "op10_minhash_near_dedup": minhash_near_dedup,
 }
 # Windows by position: every run of ten words (or all words of a shorter item) is one row, and rows meet by their text.
 _DECONTAMINATION_SQL = """
@@ -73,6 +78,47 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM dw LEFT JOIN words USING (r) LEFT JOIN found USING (r)
 """
 
+# Pairs that share a shingle are counted in full, then the smallest reachable id is passed on along the links.
+_NEAR_DEDUP_SQL = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents
+), sets AS (
+  SELECT doc_id, list_sort(CASE WHEN len(w) < 2 THEN w
+         ELSE list_distinct(list_transform(generate_series(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1])) END) AS s
+  FROM words
+), classes AS (
+  SELECT min(doc_id) AS node, s, len(s) AS n FROM sets WHERE len(s) > 0 GROUP BY s
+), shingles AS (
+  SELECT node, n, unnest(s) AS g FROM classes
+), counted AS (
+  SELECT g, node, n, count(*) OVER (PARTITION BY g) AS df FROM shingles
+), ranked AS (
+  SELECT node, n, g, row_number() OVER (PARTITION BY node ORDER BY df, g) AS r FROM counted
+), prefix AS (
+  SELECT node, n, g FROM ranked WHERE 100 * (n - r + 1) >= 80 * n
+), candidates AS (
+  SELECT DISTINCT x.node AS a, y.node AS b, x.n AS m, y.n AS n
+  FROM prefix x JOIN prefix y ON x.g = y.g AND x.node < y.node AND 100 * least(x.n, y.n) >= 80 * greatest(x.n, y.n)
+), common AS (
+  SELECT a, b, any_value(m) AS m, any_value(c.n) AS n, count(*) AS k
+  FROM candidates c JOIN shingles x ON x.node = a JOIN shingles y ON y.node = b AND y.g = x.g GROUP BY a, b
+), links AS (
+  SELECT a, b FROM common WHERE 100 * k >= 80 * (m + n - k)
+  UNION ALL SELECT b, a FROM common WHERE 100 * k >= 80 * (m + n - k)
+), reach AS (
+  SELECT node, node AS root FROM classes
+  UNION SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.node
+), grouped AS (
+  SELECT c.s, min(root) AS component_id FROM reach JOIN classes c USING (node) GROUP BY c.s
+)
+SELECT doc_id, CAST(len(sets.s) AS BIGINT) AS n_shingles, coalesce(component_id, doc_id) AS component_id,
+       doc_id = coalesce(component_id, doc_id) AS kept
+FROM sets LEFT JOIN grouped ON grouped.s = sets.s
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op9_benchmark_decontamination": _DECONTAMINATION_SQL,
+    "op10_minhash_near_dedup": _NEAR_DEDUP_SQL,
 }
