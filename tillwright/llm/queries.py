@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import decontamination, near_dedup, quality
+from tillwright.llm import decontamination, mixing, near_dedup, quality
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sizes = mixing.sizes_of(mixing.with_row(table(spark, sf_dir, "documents").select("doc_id", "source", "text")))
+    return mixing.taken(sizes, mixing.mix(sizes)).select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
 def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.train(docs, table(spark, sf_dir, "labels"))
@@ -42,6 +47,7 @@ def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_source_mixing": source_mixing,
     "op7_quality_classifier": quality_classifier,
     "op9_benchmark_decontamination": benchmark_decontamination,
     "op10_minhash_near_dedup": minhash_near_dedup,
