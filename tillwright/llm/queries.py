@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import decontamination, mixing, near_dedup, quality
+from tillwright.llm import decontamination, mixing, near_dedup, quality, token_files
+from tillwright.session import shared_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +22,18 @@ def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(sizes, mixing.mix(sizes)).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def written_and_read(docs: DataFrame) -> DataFrame:
+    """Encode, write and read back: where each document lies in the sequence of all ids, and the checksum of its own."""
+    spark = docs.sparkSession
+    folder = f"{shared_folder(spark).rstrip('/')}/token-files-{uuid.uuid4().hex}"
+    token_files.write(docs, folder, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+    return token_files.read(spark, folder).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return written_and_read(table(spark, sf_dir, "documents"))
+
+
 def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.train(docs, table(spark, sf_dir, "labels"))
@@ -48,6 +63,7 @@ def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": source_mixing,
+    "op3_token_id_files": token_id_files,
     "op7_quality_classifier": quality_classifier,
     "op9_benchmark_decontamination": benchmark_decontamination,
     "op10_minhash_near_dedup": minhash_near_dedup,
