@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import decontamination, mixing, near_dedup, quality, token_files
+from tillwright.llm import decontamination, mixing, near_dedup, quality, token_counts, token_files
 from tillwright.session import shared_folder
 
 
@@ -22,6 +22,11 @@ def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(sizes, mixing.mix(sizes)).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
 def written_and_read(docs: DataFrame) -> DataFrame:
     """Encode, write and read back: where each document lies in the sequence of all ids, and the checksum of its own."""
     spark = docs.sparkSession
@@ -63,6 +68,7 @@ def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": source_mixing,
+    "op2_token_counts": token_count,
     "op3_token_id_files": token_id_files,
     "op7_quality_classifier": quality_classifier,
     "op9_benchmark_decontamination": benchmark_decontamination,
