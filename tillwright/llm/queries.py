@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import decontamination, mixing, near_dedup, quality, token_counts, token_files
+from tillwright.llm import decontamination, mixing, near_dedup, neighbours, quality, token_counts, token_files
 from tillwright.session import shared_folder
 
 
@@ -39,6 +39,10 @@ def token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written_and_read(table(spark, sf_dir, "documents"))
 
 
+def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = quality.train(docs, table(spark, sf_dir, "labels"))
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": source_mixing,
     "op2_token_counts": token_count,
     "op3_token_id_files": token_id_files,
+    "op6_nearest_neighbours": nearest_neighbours,
     "op7_quality_classifier": quality_classifier,
     "op9_benchmark_decontamination": benchmark_decontamination,
     "op10_minhash_near_dedup": minhash_near_dedup,
