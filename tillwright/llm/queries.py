@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import decontamination, mixing, near_dedup, neighbours, quality, token_counts, token_files
+from tillwright.llm import decontamination, extraction, mixing, near_dedup, neighbours, quality, token_counts, token_files
 from tillwright.session import shared_folder
 
 
@@ -70,12 +70,17 @@ def minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle_words=2)
 
 
+def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": source_mixing,
     "op2_token_counts": token_count,
     "op3_token_id_files": token_id_files,
     "op6_nearest_neighbours": nearest_neighbours,
     "op7_quality_classifier": quality_classifier,
+    "op8_html_extraction": html_extraction,
     "op9_benchmark_decontamination": benchmark_decontamination,
     "op10_minhash_near_dedup": minhash_near_dedup,
 }
