@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import decontamination, extraction, mixing, near_dedup, neighbours, quality, token_counts, token_files
+from tillwright.llm import decontamination, extraction, licenses, mixing, near_dedup, neighbours, quality, token_counts, token_files
 from tillwright.session import shared_folder
 
 
@@ -39,6 +39,10 @@ def token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written_and_read(table(spark, sf_dir, "documents"))
 
 
+def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
@@ -78,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": source_mixing,
     "op2_token_counts": token_count,
     "op3_token_id_files": token_id_files,
+    "op4_license_scan": license_scan,
     "op6_nearest_neighbours": nearest_neighbours,
     "op7_quality_classifier": quality_classifier,
     "op8_html_extraction": html_extraction,
@@ -156,7 +161,39 @@ SELECT doc_id, CAST(len(sets.s) AS BIGINT) AS n_shingles, coalesce(component_id,
 FROM sets LEFT JOIN grouped ON grouped.s = sets.s
 """
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+_BIGRAMS = """list_distinct(list_transform(generate_series(1, len({w}) - 1), lambda i: {w}[i] || ' ' || {w}[i + 1]))"""
+_LICENSES_SQL = f"""
+WITH texts(template, license, text) AS (
+  VALUES {", ".join(f"({i}, {_quoted(name)}, {_quoted(text)})" for i, (name, text) in enumerate(licenses.TEMPLATES))}
+), t AS (
+  SELECT template, license, {_BIGRAMS.format(w="w")} AS g
+  FROM (SELECT template, license, string_split(trim(regexp_replace(lower(text), '[^\\pL\\pN]+', ' ', 'g')), ' ') AS w FROM texts)
+), passages AS (
+  SELECT DISTINCT doc_id, unnest(list_concat([text], regexp_split_to_array(text, '\\n\\s*\\n'), string_split(text, chr(10)),
+         list_transform(string_split(regexp_replace(text, '([.!?])([ \\t\\r\\f\\v]+|\\n)', '\\1' || chr(10), 'g'), chr(10)),
+                        lambda x: ltrim(x, ' ' || chr(9) || chr(13))))) AS p
+  FROM documents WHERE text IS NOT NULL
+), cut AS (
+  SELECT doc_id, p, {_BIGRAMS.format(w="w")} AS g
+  FROM (SELECT doc_id, p, string_split(trim(regexp_replace(lower(p), '[^\\pL\\pN]+', ' ', 'g')), ' ') AS w FROM passages)
+), scored AS (
+  SELECT doc_id, p, license, 2.0::DOUBLE * len(list_intersect(cut.g, t.g)) / (len(cut.g) + len(t.g)) AS dice
+  FROM cut JOIN t ON len(cut.g) > 0 AND 2.0 * least(len(cut.g), len(t.g)) >= 0.8 * (len(cut.g) + len(t.g))
+), best AS (
+  SELECT doc_id, count(DISTINCT p) AS n_matches, string_agg(DISTINCT license, ',' ORDER BY license) AS licenses,
+         max(dice) AS best_dice, arg_min(license, struct_pack(d := -dice, l := license)) AS best_license
+  FROM scored WHERE dice >= 0.8 GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_matches, 0) AS n_matches, coalesce(licenses, '') AS licenses, best_license, best_dice
+FROM documents LEFT JOIN best USING (doc_id)
+"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op4_license_scan": _LICENSES_SQL,
     "op9_benchmark_decontamination": _DECONTAMINATION_SQL,
     "op10_minhash_near_dedup": _NEAR_DEDUP_SQL,
 }
