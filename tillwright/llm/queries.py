@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import decontamination, extraction, licenses, mixing, near_dedup, neighbours, quality, token_counts, token_files
+from tillwright.llm import decontamination, extraction, licenses, mixing, near_dedup, neighbours, quality, quotes, token_counts, token_files
 from tillwright.session import shared_folder
 
 
@@ -43,6 +43,10 @@ def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.conversations(table(spark, sf_dir, "conversations"))
+
+
 def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
@@ -83,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": token_count,
     "op3_token_id_files": token_id_files,
     "op4_license_scan": license_scan,
+    "op5_quotation_links": quotation_links,
     "op6_nearest_neighbours": nearest_neighbours,
     "op7_quality_classifier": quality_classifier,
     "op8_html_extraction": html_extraction,
@@ -192,8 +197,56 @@ SELECT doc_id, coalesce(n_matches, 0) AS n_matches, coalesce(licenses, '') AS li
 FROM documents LEFT JOIN best USING (doc_id)
 """
 
+_QUOTES_SQL = """
+WITH m AS (
+  SELECT row_number() OVER () AS r, conv_id, CAST(turn AS BIGINT) AS turn, role, coalesce(text, '') AS body FROM conversations
+), lines AS (
+  SELECT r, i, string_split(body, chr(10))[i] AS raw
+  FROM (SELECT r, body, unnest(generate_series(1, len(string_split(body, chr(10))))) AS i FROM m)
+), levels AS (
+  SELECT r, i, raw, len(regexp_replace(regexp_extract(raw, '^((?:[ \\t]*>)+)', 1), '[^>]', '', 'g')) AS level FROM lines
+), marked AS (
+  SELECT r, i, raw, level, regexp_replace(raw, '^(?:[ \\t]*>)+', '') AS line, level = 0
+         AND coalesce(lead(level) OVER (PARTITION BY r ORDER BY i), 0) > 0
+         AND regexp_matches(raw, '(?i)^\\s*(?:on|am|le|el)\\s.*(?:wrote|schrieb.*|a écrit|escribió)\\s*:\\s*$') AS intro
+  FROM levels
+), own AS (
+  SELECT r, coalesce(sum((level > 0)::INT), 0)::BIGINT AS n_quoted,
+         trim(regexp_replace(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (level = 0 AND NOT intro), ''), '\\n{3,}', chr(10) || chr(10), 'g'),
+              ' ' || chr(10) || chr(9) || chr(13)) AS cut
+  FROM marked GROUP BY r
+), told AS (
+  SELECT m.*, n_quoted, CASE WHEN n_quoted = 0 THEN body ELSE cut END AS text FROM m JOIN own USING (r)
+), quoted AS (
+  SELECT DISTINCT r, trim(regexp_replace(lower(p), '[^\\pL\\pN]+', ' ', 'g')) AS p FROM (
+    SELECT r, line AS p FROM marked WHERE level > 0
+    UNION ALL
+    SELECT r, string_agg(line, ' ' ORDER BY i) FROM (
+      SELECT r, i, level, line, i - row_number() OVER (PARTITION BY r, level ORDER BY i) AS run FROM marked WHERE level > 0)
+    GROUP BY r, level, run)
+), passages AS (
+  SELECT DISTINCT conv_id, turn, trim(regexp_replace(lower(p), '[^\\pL\\pN]+', ' ', 'g')) AS p FROM (
+    SELECT conv_id, turn, unnest(list_concat([text], regexp_split_to_array(text, '\\n\\s*\\n'), string_split(text, chr(10)))) AS p FROM told)
+), met AS (
+  SELECT q.r, q.p, max(o.turn) AS quotes
+  FROM quoted q JOIN told t USING (r) JOIN passages o ON o.conv_id = t.conv_id AND o.p = q.p AND o.turn < t.turn
+  WHERE q.p <> '' GROUP BY q.r, q.p
+), links AS (
+  SELECT r, arg_max(quotes, struct_pack(c := chars, q := quotes)) AS quotes
+  FROM (SELECT r, quotes, sum(len(p)) AS chars FROM met GROUP BY r, quotes) GROUP BY r
+)
+SELECT conv_id, turn, coalesce(role, 'unknown') AS role, text, n_quoted,
+       coalesce(quotes, CASE WHEN conv_id IS NOT NULL THEN
+         (SELECT max(x.turn) FROM m x WHERE x.conv_id = told.conv_id AND x.turn < told.turn) END) AS reply_to,
+       quotes IS NOT NULL AS by_quote,
+       CASE WHEN conv_id IS NULL THEN 1 ELSE row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text, r) END AS position,
+       '<|' || coalesce(role, 'unknown') || '|>' || chr(10) || text AS chat
+FROM told LEFT JOIN links USING (r)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op4_license_scan": _LICENSES_SQL,
+    "op5_quotation_links": _QUOTES_SQL,
     "op9_benchmark_decontamination": _DECONTAMINATION_SQL,
     "op10_minhash_near_dedup": _NEAR_DEDUP_SQL,
 }
