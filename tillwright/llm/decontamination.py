@@ -231,10 +231,13 @@ def decontaminate(
     A document of which more than ``max_coverage`` of the words are hit goes; from others the hit spans are cut, again
     until none is left (a cut can bring two halves of a window together). Documents without a hit stay as they are.
     """
-    kept = find(docs, benchmark, window, chunk_words).filter(n_hit() <= max_coverage * F.col("n_words"))
+    text = next(c for c in docs.columns if c.lower() == "text")
+    others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text], F.lit(0).alias("_")).alias("others")
+    found = find(docs.select(others, F.col(f"`{text}`").alias("text")), benchmark, window, chunk_words)
+    kept = found.filter(n_hit() <= max_coverage * F.col("n_words"))
     for chunk in chunks_of(benchmark, chunk_words):
         kept = _cut(kept, chunk, window)
-    return kept.select(*[f"`{c}`" for c in docs.columns])
+    return kept.select(*[F.col("text").alias(c) if c == text else F.col("others").getField(c).alias(c) for c in docs.columns])
 
 
 def _cut(found: DataFrame, chunk: list[tuple[str, list[bytes]]], window: int) -> DataFrame:

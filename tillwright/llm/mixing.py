@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.window import Window as W
 
 from tillwright.session import materialise
@@ -40,21 +41,19 @@ def word_starts(text: bytes) -> np.ndarray:
     return np.flatnonzero(~blank & np.concatenate([[True], blank[:-1]])) if len(blank) else np.empty(0, dtype=np.int64)
 
 
-def with_row(docs: DataFrame) -> DataFrame:
-    """``docs`` with a number for each row; ``docs`` must be a stored table, so that it is the same at every reading."""
-    return docs.withColumn("_row", F.monotonically_increasing_id())
+def sizes_of(docs: DataFrame) -> DataFrame:
+    """``row``, ``doc_id``, ``source`` and ``size``, the number of words of the text (null: 0), written once.
 
-
-def sizes_of(numbered: DataFrame) -> DataFrame:
-    """``row``, ``doc_id``, ``source`` and ``size``, the number of words of the text (null: 0), written once."""
+    ``docs`` must be a stored table, so that its rows are numbered alike at every reading.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes = [len(word_starts(t or b"")) for t in batch.column("text").cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("row", "doc_id", "source")), pa.array(sizes, pa.int64())], [*names, "size"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(sizes, pa.int64())], [*names, "size"])
 
     names = ["row", "doc_id", "source"]
-    rows = numbered.select(F.col("_row").alias("row"), "doc_id", "source", "text")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "source", "text")
     return materialise(rows.mapInArrow(run, rows.select(*names).withColumn("size", F.lit(0).cast("long")).schema), "sizes")
 
 
@@ -238,24 +237,26 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     A document gives one row for each turn in which blocks of it were drawn (at most ``max_passes``); its text there is
     what the blocks hold of it: all of it, or the passages taken, in order and on lines of their own.
     """
-    numbered = with_row(docs)
-    mixed = mix(sizes_of(numbered), **options)
+    mixed = mix(sizes_of(docs), **options)
     parts = (
         mixed.pieces.join(mixed.slots, ["source_no", "block"])
-        .groupBy(F.col("row").alias("_row"), "turn")
-        .agg(F.max("size").alias("_size"), F.array_sort(F.collect_list(F.struct("first", "words"))).alias("_parts"))
+        .groupBy("row", "turn")
+        .agg(F.max("size").alias("size"), F.array_sort(F.collect_list(F.struct("first", "words"))).alias("parts"))
     )
     names = docs.columns
     text = next(c for c in names if c.lower() == "text")
+    others = F.struct(*[F.col(f"`{c}`") for c in names if c != text], F.lit(0).alias("_")).alias("others")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(f"`{text}`").alias("text"), others).join(parts, "row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bodies, parts, sizes = (batch.column(c) for c in (text, "_parts", "_size"))
-            cut = [_passages(t, p, n) for t, p, n in zip(bodies.cast(pa.binary()).to_pylist(), parts.to_pylist(), sizes.to_pylist(), strict=True)]
-            texts = pa.array(cut, pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_arrays([texts if c == text else batch.column(c) for c in names], names)
+            bodies, parts, sizes = (batch.column(c).to_pylist() for c in ("text", "parts", "size"))
+            cut = [_passages(t.encode(), p, n).decode() for t, p, n in zip(bodies, parts, sizes, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("others"), pa.array(cut, pa.string())], ["others", "text"])
 
-    return numbered.join(parts, "_row").mapInArrow(run, docs.schema)
+    schema = StructType([rows.schema["others"], StructField("text", StringType())])
+    cut = rows.select("text", "others", "parts", "size").mapInArrow(run, schema)
+    return cut.select(*[F.col("text").alias(c) if c == text else F.col("others").getField(c).alias(c) for c in names])
 
 
 def _passages(text: bytes, parts: list[dict], size: int) -> bytes:

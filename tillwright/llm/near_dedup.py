@@ -244,11 +244,10 @@ def _unsettled(members: DataFrame, compared: DataFrame, found: DataFrame) -> Dat
 def deduplicate(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """``docs`` with one document of each group: the one with the smallest doc_id (all columns as they are).
 
-    Of several rows with that doc_id, the copies of one text (of the greatest, if they differ) become one row.
+    Of several rows with that doc_id, one is left, with the greatest text. Rows without a doc_id all stay.
     """
-    kept = near_duplicates(docs, shingle_words).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    key = F.col("doc_id").cast("long").eqNullSafe(F.col("_kept"))
-    rows = docs.join(kept, key, "left_semi")
-    chosen = F.max_by(F.struct(*[F.col(f"`{c}`") for c in docs.columns]), F.struct(F.col("text"), F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])))
-    named = rows.filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("_kept")).agg(chosen.alias("_row")).select("_row.*")
-    return named.unionByName(docs.filter("doc_id IS NULL"))
+    kept = near_duplicates(docs.select("doc_id", "text"), shingle_words).filter("kept").select("doc_id").distinct()
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", whole)
+    chosen = rows.join(kept, "doc_id", "left_semi").groupBy("doc_id").agg(F.max_by("doc", F.struct("text", F.xxhash64("doc"))).alias("doc"))
+    return chosen.select("doc.*").unionByName(rows.filter("doc_id IS NULL").select("doc.*"))

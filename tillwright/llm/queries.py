@@ -18,7 +18,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sizes = mixing.sizes_of(mixing.with_row(table(spark, sf_dir, "documents").select("doc_id", "source", "text")))
+    sizes = mixing.sizes_of(table(spark, sf_dir, "documents"))
     return mixing.taken(sizes, mixing.mix(sizes)).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
