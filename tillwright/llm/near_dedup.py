@@ -10,8 +10,9 @@ What keeps the work linear, with all links kept:
 * documents with one and the same set are one class, represented by the smallest id, before anything else is done;
 * in a bucket every member is first compared with one pivot only (the member with the least hash), and what is linked
   becomes components;
-* members of one bucket that are then still in different components are compared too, unless the sizes of their sets or
-  their distances from the pivot (Jaccard distance obeys the triangle inequality) already exclude a link.
+* members outside the largest component of their bucket are then compared with a few of its members, drawn by hash;
+* what is still in different components of one bucket is compared in full, unless the sizes of two sets or their
+  distances from the pivot (Jaccard distance obeys the triangle inequality) already exclude a link.
 
 All comparisons use the full sets. Intermediate tables are in the shared folder, so that lost executors cost a task and
 not the run.
@@ -37,6 +38,8 @@ BANDS, BAND_ROWS = 50, 7
 UNIVERSE_BITS = 20
 # Ids of compared documents are broadcast up to this number (8 bytes each), else joined.
 BROADCAST_IDS = 2_000_000
+# Members of the largest component that an outsider meets in a bucket before it is compared with all.
+DRAWN = 16
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -203,12 +206,14 @@ def near_duplicates(
     links = compared.filter(f"100 * both >= {PERCENT} * either").select("a", "b")
     found = components(links)
 
-    rest = materialise(_unsettled(members, compared, found), "unsettled")
-    if not rest.isEmpty():
-        more = materialise(_compared(rest, sets), "compared").filter(f"100 * both >= {PERCENT} * either").select("a", "b")
-        if not more.isEmpty():
-            hung = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
-            found = components(hung.unionByName(more))
+    for drawn in (DRAWN, None):
+        rest = materialise(_unsettled(members, compared, found, drawn), "unsettled")
+        if rest.isEmpty():
+            continue
+        compared = compared.unionByName(materialise(_compared(rest, sets), "compared"))
+        links = compared.filter(f"100 * both >= {PERCENT} * either").select("a", "b")
+        hung = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        found = components(hung.unionByName(links))
 
     grouped = classes.select("digest", "node").join(found, "node", "left").select("digest", F.coalesce("component", "node").alias("component"))
     whole = marked.select("doc_id", "n_shingles", "digest").join(grouped, "digest", "left")
@@ -217,8 +222,9 @@ def near_duplicates(
     return whole.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", kept)
 
 
-def _unsettled(members: DataFrame, compared: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs that share a bucket but neither a component nor a bound that excludes a link, and were not compared yet."""
+def _unsettled(members: DataFrame, compared: DataFrame, found: DataFrame, drawn: int | None) -> DataFrame:
+    """Pairs that share a bucket but neither a component nor a bound that excludes a link, and were not compared yet:
+    all of them, or those of outsiders with about ``drawn`` members of the largest component of the bucket."""
     gap = F.lit(1.0) - F.col("both") / F.col("either")
     near = compared.select(F.col("a").alias("pivot"), F.col("b").alias("node"), gap.alias("gap"))
     placed = (
@@ -227,16 +233,19 @@ def _unsettled(members: DataFrame, compared: DataFrame, found: DataFrame) -> Dat
         .join(found, "node", "left")
         .select("bucket", "node", "size", "gap", F.coalesce("component", "node").alias("component"))
     )
-    mixed = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("bucket")
-    open_ = placed.join(mixed, "bucket")
-    one = open_.select("bucket", *[F.col(c).alias(f"{c}_1") for c in ("node", "size", "gap", "component")])
-    two = open_.select("bucket", *[F.col(c).alias(f"{c}_2") for c in ("node", "size", "gap", "component")])
+    shares = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    mixed = shares.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("main"), F.count("*").alias("parts")).filter("parts > 1")
+    slots = F.lit(1).cast("long") if drawn is None else F.ceil(F.col("main.n") / drawn)
+    open_ = placed.join(mixed.select("bucket", slots.alias("slots"), F.col("main.component").alias("main")), "bucket")
+    one = open_.filter("component <> main").withColumn("slot", F.pmod(F.xxhash64("node", "bucket"), "slots"))
+    two = (open_ if drawn is None else open_.filter("component = main")).withColumn("slot", F.pmod(F.xxhash64("node"), "slots"))
+    columns = ["node", "size", "gap", "component"]
+    one = one.select("bucket", "slot", "main", *[F.col(c).alias(f"{c}_1") for c in columns])
+    two = two.select("bucket", "slot", *[F.col(c).alias(f"{c}_2") for c in columns])
     # Without a gap (the pivot's size excluded a link) nothing follows from it. The margin covers rounding.
     apart = F.coalesce(F.abs(F.col("gap_1") - F.col("gap_2")) > 1 - PERCENT / 100 + 1e-9, F.lit(False))
-    pairs = one.join(two, "bucket").filter(
-        (F.col("node_1") < F.col("node_2")) & (F.col("component_1") != F.col("component_2")) & _may_link("size_1", "size_2") & ~apart
-    )
-    pairs = pairs.select(F.col("node_1").alias("a"), F.col("node_2").alias("b")).distinct()
+    pairs = one.join(two, ["bucket", "slot"]).filter((F.col("component_1") != F.col("component_2")) & _may_link("size_1", "size_2") & ~apart)
+    pairs = pairs.select(F.least("node_1", "node_2").alias("a"), F.greatest("node_1", "node_2").alias("b")).distinct()
     known = compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     return pairs.join(known, ["a", "b"], "left_anti")
 
