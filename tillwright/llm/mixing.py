@@ -164,10 +164,12 @@ def _slots(wanted: DataFrame, block_words: int, shard_slots: int, seed: int) ->
             given += counts
 
     drawn = plan.mapInArrow(draw, "shard long, source_no long, blocks long, start long, n long")
-    # Slots are unfolded in runs of 1024, so that the slots of a shard are spread over tasks.
+    # Slots are unfolded in runs of 1024, so that the slots of a shard are spread over tasks: a given number, since the
+    # runs are few bytes and adaptive execution would put them into one.
+    tasks = int(wanted.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     runs = drawn.select(
         "shard", "source_no", "blocks", F.col("start"), F.col("n"), F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / 1024))).alias("run")
-    ).repartition("shard", "source_no", "run")
+    ).repartition(tasks, "shard", "source_no", "run")
     lo = F.col("start") + F.col("run") * 1024
     hi = F.least(F.col("start") + F.col("n"), lo + 1024) - 1
     places = runs.select("shard", F.col("source_no").cast("int").alias("source_no"), "blocks", F.explode(F.sequence(lo, hi)).alias("place"))
@@ -221,7 +223,8 @@ def permuted(place: np.ndarray, blocks: np.ndarray, source: np.ndarray, turn: np
 def taken(sizes: DataFrame, mixed: Mix) -> DataFrame:
     """``sizes`` with ``source_size``, ``target`` and ``taken``: the words the mix takes of the row, repeats counted."""
     times = mixed.slots.groupBy("source_no", "block").agg(F.count("*").alias("times"))
-    per_row = mixed.pieces.join(times, ["source_no", "block"]).groupBy("row").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
+    # Spark takes slots for as small as the targets they are unfolded from; without the hint it would broadcast them.
+    per_row = mixed.pieces.join(times.hint("merge"), ["source_no", "block"]).groupBy("row").agg(F.sum(F.col("words") * F.col("times")).alias("taken"))
     wanted = mixed.targets.select(F.col("source").alias("_source"), "source_size", "target")
     return (
         sizes.join(per_row, "row", "left")
@@ -239,7 +242,7 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """
     mixed = mix(sizes_of(docs), **options)
     parts = (
-        mixed.pieces.join(mixed.slots, ["source_no", "block"])
+        mixed.pieces.join(mixed.slots.hint("merge"), ["source_no", "block"])
         .groupBy("row", "turn")
         .agg(F.max("size").alias("size"), F.array_sort(F.collect_list(F.struct("first", "words"))).alias("parts"))
     )
