@@ -4,8 +4,8 @@ The page is cut into blocks at block-level tags. The first pass looks at each bl
 that is never part of an article (navigation, forms, adverts, comments by name, …) is boilerplate, and so is a block that
 is mostly links; a block of some length with the density of function words that running text has is content; long blocks
 without are boilerplate, unless the page marks them as its article. Short blocks stay undecided. In the second pass an undecided
-block takes the label of the nearest decided block, before or after it; between two at the same distance that differ it
-is boilerplate.
+block takes the label of the nearest decided block, before or after it. Between content and boilerplate at the same
+distance it is content only if the boilerplate is known by its markup, which tells nothing about what stands beside it.
 """
 
 from __future__ import annotations
@@ -212,8 +212,8 @@ def _inherited(blocks: list[Block], labels: list[bool | None], i: int, before: i
         return not blocks[i].heading and blocks[i].linked == 0
     if before is None or after is None:
         return bool(labels[after if before is None else before])
-    if i - before == after - i:
-        return bool(labels[before]) and bool(labels[after])
+    if i - before == after - i and labels[before] != labels[after]:
+        return blocks[after if labels[before] else before].furniture
     return bool(labels[before if i - before < after - i else after])
 
 
