@@ -14,9 +14,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -228,39 +226,43 @@ def decontaminate(
 ) -> DataFrame:
     """``docs`` without benchmark passages, same columns.
 
-    A document of which more than ``max_coverage`` of the words are hit goes; from others the hit spans are cut, again
-    until none is left (a cut can bring two halves of a window together). Documents without a hit stay as they are.
+    Hit spans are cut, again until none is left (a cut can bring two halves of a window together); a document that loses
+    more than ``max_coverage`` of its words goes as a whole. Documents without a hit stay as they are.
     """
     text = next(c for c in docs.columns if c.lower() == "text")
     others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text], F.lit(0).alias("_")).alias("others")
-    found = find(docs.select(others, F.col(f"`{text}`").alias("text")), benchmark, window, chunk_words)
-    kept = found.filter(n_hit() <= max_coverage * F.col("n_words"))
+    lost = F.lit(0.0).alias("lost")
+    kept = docs.select(F.col(f"`{text}`").alias("text"), others, lost)
     for chunk in chunks_of(benchmark, chunk_words):
         kept = _cut(kept, chunk, window)
+    kept = kept.filter(F.col("lost") <= max_coverage)
     return kept.select(*[F.col("text").alias(c) if c == text else F.col("others").getField(c).alias(c) for c in docs.columns])
 
 
-def _cut(found: DataFrame, chunk: list[tuple[str, list[bytes]]], window: int) -> DataFrame:
-    """Rows of ``find`` whose texts have no window of the chunk any more."""
-    shared = found.sparkSession.sparkContext.broadcast((chunk, window))
-    names = found.columns
-    text = next(c for c in names if c.lower() == "text")
-
-    def clean(automaton: Automaton, body: bytes) -> bytes:
-        while spans := automaton.scan(words_of(body))[0]:
-            body = without_spans(body, spans)
-        return body
+def _cut(docs: DataFrame, chunk: list[tuple[str, list[bytes]]], window: int) -> DataFrame:
+    """``text`` without windows of the chunk, and in ``lost`` the share of all words cut so far."""
+    shared = docs.sparkSession.sparkContext.broadcast((chunk, window))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = Automaton(*shared.value)
         for batch in batches:
-            dirty = np.flatnonzero(np.asarray(pc.list_value_length(batch.column("spans"))))
-            if len(dirty):
-                bodies = batch.column(text).cast(pa.binary()).to_pylist()
-                for i in dirty:
-                    bodies[i] = clean(automaton, bodies[i])
-                texts = pa.array(bodies, pa.binary()).cast(pa.string())
-                batch = pa.RecordBatch.from_arrays([texts if c == text else batch.column(c) for c in names], names)
+            changed: dict[int, bytes] = {}
+            lost = batch.column("lost").to_pylist()
+            for i, scalar in enumerate(batch.column("text").cast(pa.binary())):
+                body = scalar.as_py() or b""
+                words = words_of(body)
+                n, cut = len(words), 0
+                while spans := automaton.scan(words)[0]:
+                    cut += sum(end - first for first, end in spans)
+                    changed[i] = body = without_spans(body, spans)
+                    words = words_of(body)
+                if cut:
+                    lost[i] += (1 - lost[i]) * cut / n
+            if changed:
+                texts = [changed.get(i, t) for i, t in enumerate(batch.column("text").cast(pa.binary()).to_pylist())]
+                batch = pa.RecordBatch.from_arrays(
+                    [pa.array(texts, pa.binary()).cast(pa.string()), batch.column("others"), pa.array(lost, pa.float64())], ["text", "others", "lost"]
+                )
             yield batch
 
-    return found.mapInArrow(run, found.schema)
+    return docs.mapInArrow(run, docs.schema)

@@ -47,7 +47,7 @@ class _WordHashes(dict):
     """64-bit hash by word, kept for the words met last."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 250_000:
             self.clear()
         self[word] = value = xxhash.xxh3_64_intdigest(word)
         return value

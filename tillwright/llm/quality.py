@@ -190,14 +190,10 @@ def with_scores(docs: DataFrame, model: QualityModel, score: str = "score") -> D
     A null text counts as empty; every row is scored by its whole text, and nothing but its text.
     """
     shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias, model.slope, model.offset))
-    kept = [c for c in docs.columns if c.lower() != score.lower()]
+    kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() != score.lower()]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fitted = QualityModel(*shared.value)
-        for batch in batches:
-            scores = pa.array(fitted.scores(binary(batch.column(kept.index(text)))), pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, scores], [*batch.schema.names, score])
+    @F.arrow_udf("double")
+    def scored(texts: pa.Array) -> pa.Array:
+        return pa.array(QualityModel(*shared.value).scores(binary(texts)), pa.float64())
 
-    text = next(c for c in kept if c.lower() == "text")
-    schema = docs.select(*[f"`{c}`" for c in kept]).withColumn(score, F.lit(0.0)).schema
-    return docs.select(*[f"`{c}`" for c in kept]).mapInArrow(run, schema)
+    return docs.select(*kept, scored(F.coalesce("text", F.lit(""))).alias(score))

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 FRAME_BYTES = 1 << 20
-CACHED_WORDS = 700_000
+CACHED_WORDS = 350_000
 # Fixed values of the zstandard formats: a skippable frame's first word, the seek table's kind and last word.
 _SKIPPABLE, _SEEK_TABLE, _SEEKABLE = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 _ENTRY, _FOOTER, _INDEX = "<III", "<IBI", "<qqQQ"
