@@ -4,14 +4,16 @@ A byte-level BPE tokenizer first splits a text into pre-tokens and then each of
 So the pieces are counted once for every distinct pre-token of the corpus, and a document's count is the sum over its
 pre-tokens of frequency times pieces. The steps:
 
-1. Documents are read in blocks of at most ``BLOCK_ROWS`` rows. A block gives one row for each of its distinct
-   pre-tokens, with the postings (document in the block, frequency) packed in bytes.
+1. Documents are read in blocks. A block gives one row for each of its distinct pre-tokens, with the documents it stands
+   in (as often as it does) packed in bytes: frequencies meet pre-tokens without a row for each pair.
 2. Pre-tokens that are one piece of the vocabulary by themselves need no look-up (the vocabulary has a fixed size); they
-   are added up in the block. These are the frequent ones, so no join key is hot.
-3. The others meet the table of distinct pre-tokens with their pieces in a join, and the products are summed by document.
+   are added up in the block. These are the frequent ones, so no key of the shuffle is hot.
+3. The rows of a pre-token come together, sorted, in one task. There its pieces are counted, once, and joined to its
+   rows in a merge that streams; the products are summed by document.
 
-Texts are split at single blanks between other characters, where a new pre-token always begins; what stands between is
-split by the tokenizer itself, once for each distinct piece of text in a block.
+Texts are split at single blanks between other characters, where a new pre-token always begins. What stands between is
+split once for each distinct stretch in a block: by the tokenizer, or, for common characters, from a table of what the
+tokenizer does with each of them (all goes through the tokenizer if its rules turn out to be others on a few probes).
 """
 
 from __future__ import annotations
@@ -27,14 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_ROWS = 16_384
-BLOCK_BYTES = 64 << 20
-CACHED_CHUNKS = 500_000
+BLOCK_BYTES = 10 << 20
 # A blank next to other white space does not begin a pre-token by itself.
 _BLANKS = re.compile(r" \s|\s ")
 _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 # Keys of rows that carry the documents of a block; no pre-token of a byte-level tokenizer holds a line end.
 _DOCUMENTS = "\n"
-_POSTING = [("row", "<u2"), ("n", "<u4")]
+_PROBES = (" don't", "we'll", " l'Été", " x1y22z", "!?a--b", " 'S", " 3.14%", " a_b", "x\ny", " x.\n12", " ¿qué?", "½x²", " Ĳſǅ", "'", " ''s")
 _DOCUMENT = [("doc_id", "<i8"), ("null", "u1"), ("bytes", "<u8"), ("tokens", "<u8")]
 
 
@@ -51,13 +52,39 @@ class Splitter:
         model = self.tokenizer.model
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         self.whole = {token for token in vocabulary if len(model.tokenize(token)) == 1}
-        self.cache: dict[str, list[str]] = {}
+        self._learn()
+
+    def _learn(self) -> None:
+        """Byte form of single characters, and whether they are letters, digits or neither."""
+        split = self.tokenizer.pre_tokenizer.pre_tokenize_str
+        self.bytes = {ord(" "): split(" x")[0][0][:-1], ord("\n"): split("\n")[0][0]}
+        kinds: dict[str, str] = {"letter": "", "digit": "", "simple": ""}
+        for code in range(0x21, 0x250):
+            c = chr(code)
+            found = split(f"x{c}x")
+            if c.isspace() or len(split(f" {c}")) != 1:
+                continue
+            kinds["simple"] += c
+            self.bytes[code] = split(c)[0][0]
+            if len(found) == 1:
+                kinds["letter"] += c
+            elif len(split(f"1{c}1")) == 1:
+                kinds["digit"] += c
+        letter, digit, simple = (re.escape(k) for k in kinds.values())
+        self.simple = re.compile(f" ?[{simple}]+(?:\n[{simple}]+)*")
+        self.cut = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{digit}]+| ?[^ \n{letter}{digit}]+|\n")
+        if any(self._short(p) != self._whole(p) for p in _PROBES):
+            self.simple = re.compile("(?!)")
+
+    def _short(self, text: str) -> list[str]:
+        return [piece.translate(self.bytes) for piece in self.cut.findall(text)]
+
+    def _whole(self, text: str) -> list[str]:
+        return [token for token, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
 
     def chunk(self, text: str) -> list[str]:
         """Pre-tokens of a stretch of text that begins and ends where pre-tokens do, in the byte alphabet."""
-        if text[1:].isalpha() and text.isascii() and text[0] == " ":
-            return ["Ġ" + text[1:]]  # the byte alphabet's blank
-        return [token for token, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
+        return self._short(text) if self.simple.fullmatch(text) else self._whole(text)
 
     def chunks(self, text: str) -> Iterable[str]:
         """The stretches of a text; all but the first of a part begin with a blank."""
@@ -80,7 +107,7 @@ class Splitter:
             return [" " + p for p in pieces]
         return [pieces[0], *[" " + p for p in pieces[1:]]]
 
-    def block(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+    def block(self, texts: Iterable[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
         """Distinct pre-tokens, and of each (pre-token, text) its numbers and frequency, ascending."""
         numbers: dict[str, int] = {}
         chunk_of: dict[str, int] = {}
@@ -89,19 +116,15 @@ class Splitter:
         chunk_ids: list[np.ndarray] = []
         for text in texts:
             found = list(self.chunks(text))
-            ids = np.fromiter((chunk_of.setdefault(c, len(chunk_of)) for c in found), dtype=np.int64, count=len(found))
+            ids = np.fromiter((chunk_of.setdefault(c, len(chunk_of)) for c in found), dtype=np.int32, count=len(found))
             chunk_ids.append(ids)
         for chunk in chunk_of:
-            tokens = self.cache.get(chunk)
-            if tokens is None:
-                if len(self.cache) > CACHED_CHUNKS:
-                    self.cache.clear()
-                tokens = self.cache[chunk] = [chunk] if chunk in self.special else self.chunk(chunk)
+            tokens = [chunk] if chunk in self.special else self.chunk(chunk)
             flat.extend(numbers.setdefault(t, len(numbers)) for t in tokens)
             starts.append(len(flat))
         flat_ids, first = np.array(flat, dtype=np.int64), np.array(starts, dtype=np.int64)
         chunks = np.concatenate(chunk_ids) if chunk_ids else np.empty(0, np.int64)
-        row = np.repeat(np.arange(len(texts)), [len(c) for c in chunk_ids])
+        row = np.repeat(np.arange(len(chunk_ids)), [len(c) for c in chunk_ids])
         count = first[chunks + 1] - first[chunks]
         ends = np.cumsum(count)
         at = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - count, count) + np.repeat(first[chunks], count)
@@ -137,14 +160,14 @@ def _packed(records: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(records.tobytes())])
 
 
-def postings(docs: DataFrame, tokenizer: str, keys_only: bool = False) -> DataFrame:
-    """``token``, ``block`` and packed ``postings``: of every block its documents, and its pre-tokens of several pieces."""
+def postings(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """``token``, ``block`` and packed ``rows``: of every block its documents, and its pre-tokens of several pieces."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter = Splitter(tokenizer)
         partition = TaskContext.get().partitionId()
         for number, (ids, texts) in enumerate(_blocks(batches)):
-            tokens, token, row, n = splitter.block([t.decode() for t in texts])
+            tokens, token, row, n = splitter.block(t.decode() for t in texts)
             whole = np.fromiter((t in splitter.whole or t in splitter.special for t in tokens), dtype=bool, count=len(tokens))
             block = (partition << 24) + number
             single = whole[token] if len(token) else np.empty(0, bool)
@@ -153,68 +176,62 @@ def postings(docs: DataFrame, tokenizer: str, keys_only: bool = False) -> DataFr
             documents["null"] = [d is None for d in ids]
             documents["bytes"] = [len(t) for t in texts]
             documents["tokens"] = np.bincount(row[single], weights=n[single], minlength=len(ids))
-            found, counts = np.unique(token[~single], return_counts=True)
-            names = [f"{_DOCUMENTS}{block}", *(tokens[i] for i in found)]
-            if keys_only:
-                yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], ["token"])
-                continue
-            entries = np.zeros(int(counts.sum()), dtype=_POSTING)
-            entries["row"], entries["n"] = row[~single], n[~single]
-            packed = pa.concat_arrays([pa.array([documents.tobytes()], pa.binary()), _packed(entries, counts)])
-            table = pa.Table.from_arrays([pa.array(names, pa.string()), pa.array(np.full(len(names), block), pa.int64()), packed], ["token", "block", "postings"])
+            token, row, n = token[~single], row[~single], n[~single]
+            found, first = np.unique(token, return_index=True)
+            counts = np.add.reduceat(n, first) if len(found) else np.empty(0, np.int64)
+            packed = pa.concat_arrays([pa.array([documents.tobytes()], pa.binary()), _packed(np.repeat(row, n).astype("<u2"), counts)])
+            names = pa.array([f"{_DOCUMENTS}{block}", *(tokens[i] for i in found)], pa.string())
+            table = pa.Table.from_arrays([names, pa.array(np.full(len(names), block), pa.int64()), packed], ["token", "block", "rows"])
+            del texts, tokens, token, row, n
             yield from table.combine_chunks().to_batches(max_chunksize=10_000)
 
-    schema = "token string" if keys_only else "token string, block long, postings binary"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "token string, block long, rows binary")
 
 
-def pieces_of(tokens: DataFrame, tokenizer: str) -> DataFrame:
-    """``token`` and its number of ``pieces``, for a table of distinct pre-tokens."""
+def _products(tokenizer: str):
+    """Row by row of a block: its document, or tokens to be added to it, added up as far as they come together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter = Splitter(tokenizer)
-        for batch in batches:
-            counts = [0 if t.startswith(_DOCUMENTS) else splitter.pieces(t) for t in batch.column("token").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("token"), pa.array(counts, pa.int32())], ["token", "pieces"])
-
-    return tokens.mapInArrow(run, "token string, pieces int")
+        keys: list[np.ndarray] = []
+        sums: list[np.ndarray] = []
+        last, pieces, held = None, 0, 0
 
+        def added() -> pa.RecordBatch:
+            key, which = np.unique(np.concatenate(keys), return_inverse=True)
+            total = np.bincount(which, weights=np.concatenate(sums)).astype(np.int64)
+            nothing = pa.nulls(len(key), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(key), nothing, nothing, pa.array(total)], ["row", "doc_id", "n_bytes", "n_tokens"])
 
-def _products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Row by row of a block: its document, or tokens to be added to it, added up as far as they come together."""
-    keys: list[np.ndarray] = []
-    sums: list[np.ndarray] = []
-    held = 0
-
-    def added() -> pa.RecordBatch:
-        key, which = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.bincount(which, weights=np.concatenate(sums)).astype(np.int64)
-        nothing = pa.nulls(len(key), pa.int64())
-        return pa.RecordBatch.from_arrays([pa.array(key), nothing, nothing, pa.array(total)], ["row", "doc_id", "n_bytes", "n_tokens"])
-
-    for batch in batches:
-        names, blocks, pieces = (batch.column(c).to_pylist() for c in ("token", "block", "pieces"))
-        bodies = batch.column("postings").to_pylist()
-        for name, block, body in zip(names, blocks, bodies, strict=True):
-            if name.startswith(_DOCUMENTS):
-                d = np.frombuffer(body, dtype=_DOCUMENT)
-                row = (block << 16) + np.arange(len(d))
-                ids = pa.array(d["doc_id"].astype(np.int64), mask=d["null"].astype(bool))
-                columns = [pa.array(row), ids, pa.array(d["bytes"].astype(np.int64)), pa.array(d["tokens"].astype(np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "n_bytes", "n_tokens"])
-        plain = np.fromiter((not x.startswith(_DOCUMENTS) for x in names), dtype=bool, count=len(names))
-        some = np.flatnonzero(plain)
-        if len(some):
-            each = np.array([len(bodies[i]) for i in some]) // np.dtype(_POSTING).itemsize
-            entries = np.frombuffer(b"".join([bodies[i] for i in some]), dtype=_POSTING)
-            keys.append(np.repeat(np.array(blocks, dtype=np.int64)[some] << 16, each) + entries["row"])
-            sums.append(np.repeat(np.array(pieces, dtype=np.int64)[some], each) * entries["n"].astype(np.int64))
+        for batch in batches:
+            names, bodies = batch.column("token").to_pylist(), batch.column("rows").to_pylist()
+            blocks = batch.column("block").to_numpy()
+            each = np.zeros(len(names), dtype=np.int64)
+            times = np.zeros(len(names), dtype=np.int64)
+            for i, (name, body) in enumerate(zip(names, bodies, strict=True)):
+                if name.startswith(_DOCUMENTS):
+                    d = np.frombuffer(body, dtype=_DOCUMENT)
+                    ids = pa.array(d["doc_id"].astype(np.int64), mask=d["null"].astype(bool))
+                    rows = pa.array((int(blocks[i]) << 16) + np.arange(len(d)))
+                    yield pa.RecordBatch.from_arrays(
+                        [rows, ids, pa.array(d["bytes"].astype(np.int64)), pa.array(d["tokens"].astype(np.int64))], ["row", "doc_id", "n_bytes", "n_tokens"]
+                    )
+                    bodies[i] = b""
+                    continue
+                if name != last:
+                    last, pieces = name, splitter.pieces(name)
+                each[i], times[i] = len(body) // 2, pieces
+            entries = np.frombuffer(b"".join(bodies), dtype="<u2")
+            keys.append(np.repeat(blocks << 16, each) + entries)
+            sums.append(np.repeat(times, each))
             held += len(entries)
-            if held > 2_000_000:
+            if held > 1_000_000:
                 yield added()
                 keys, sums, held = [], [], 0
-    if held:
-        yield added()
+        if held:
+            yield added()
+
+    return run
 
 
 def token_counts(docs: DataFrame, tokenizer: str) -> DataFrame:
@@ -222,10 +239,9 @@ def token_counts(docs: DataFrame, tokenizer: str) -> DataFrame:
 
     A null text counts as empty: 0 and 0. Special strings in a text count as the tokenizer takes them by default, as one
     token. Rows with one doc_id, or none, are counted each by itself. ``docs`` must be a stored table, since its
-    blocks are numbered by partition and read twice.
+    blocks are numbered by partition, also if a lost task reads them again.
     """
-    pieces = pieces_of(postings(docs, tokenizer, keys_only=True).distinct(), tokenizer)
-    met = postings(docs, tokenizer).join(pieces, "token")
-    parts = met.mapInArrow(_products, "row long, doc_id long, n_bytes long, n_tokens long")
+    together = postings(docs, tokenizer).repartition("token").sortWithinPartitions("token")
+    parts = together.mapInArrow(_products(tokenizer), "row long, doc_id long, n_bytes long, n_tokens long")
     summed = parts.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"), F.sum("n_tokens").alias("n_tokens"))
     return summed.drop("row")
