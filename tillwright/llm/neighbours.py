@@ -27,7 +27,7 @@ from pyspark.sql.window import Window as W
 from tillwright.session import materialise
 
 DIMENSIONS = 12
-CONFIDENCE = 0.93
+CONFIDENCE = 0.9
 # Rows of a cell that one task holds at a time; larger cells (many equal vectors) are searched in parts.
 PART_ROWS = 8_192
 LEAF_ROWS = 32
@@ -133,30 +133,36 @@ class Part:
 
     def search(self, query_id: int, query: np.ndarray, bound: float, k: int, quantile: float) -> tuple[np.ndarray, np.ndarray]:
         """The k best rows found (ids, inner products). ``bound``: a squared distance within which k rows are known."""
-        scaled = self.projection.scaled(query[None])[0]
         point = self.projection.queries(query[None])[0]
-        leaves = self.leaves
+        leaves, longest = self.leaves, self.projection.longest
         gaps = box_distances(point, leaves.low, leaves.high)
         order = np.argsort(gaps, kind="stable")
-        twice = 2 * self.projection.longest**2
-        ids, scores, near = np.empty(0, np.int64), np.empty(0), np.empty(0)
-        for at in range(0, len(order), 8):
-            if gaps[order[at]] > quantile * bound:
-                break
-            rows = np.concatenate([np.arange(leaves.starts[leaf], leaves.starts[leaf + 1]) for leaf in order[at : at + 8]])
+        gaps = gaps[order]
+        # Squared distance of lengthened and scaled vectors, from the inner product.
+        scale = 2 * longest / math.sqrt(query @ query)
+        best, scores = np.empty(0, np.int64), np.empty(0)
+        at, step = 0, 8
+        while at < len(order) and gaps[at] <= quantile * bound:
+            # Few leaves first, for a bound, then more at a time.
+            end = min(at + step, int(np.searchsorted(gaps, quantile * bound, "right")))
+            rows = np.concatenate([np.arange(leaves.starts[leaf], leaves.starts[leaf + 1]) for leaf in order[at:end]])
+            at, step = end, step * 4
             ahead = leaves.points[rows] - point
-            rows = rows[((ahead * ahead).sum(axis=1) <= quantile * bound) & (self.ids[rows] != query_id)]
+            rows = rows[(np.einsum("ij,ij->i", ahead, ahead) <= quantile * bound) & (self.ids[rows] != query_id)]
             if not len(rows):
                 continue
-            found = (self.vectors[rows] * query).sum(axis=1)
-            distance = np.maximum(twice - 2 * (self.vectors[rows] * scaled).sum(axis=1), 0.0)
-            ids, scores, near = np.concatenate([ids, self.ids[rows]]), np.concatenate([scores, found]), np.concatenate([near, distance])
-            if len(ids) > k:
-                best = np.lexsort((ids, -scores))[:k]
-                ids, scores, near = ids[best], scores[best], near[best]
-            if len(ids) >= k:
-                bound = min(bound, float(near.max()))
-        return ids, scores
+            best, scores = np.concatenate([best, rows]), np.concatenate([scores, self.vectors[rows] @ query])
+            if len(best) > k:
+                kth = np.partition(scores, len(scores) - k)[len(scores) - k]
+                near = scores >= kth - 1e-9 * longest * longest  # ties stay until the exact scores are known
+                best, scores = best[near], scores[near]
+            if len(best) >= k:
+                kth = np.partition(scores, len(scores) - k)[len(scores) - k]
+                bound = min(bound, max(2 * longest * longest - scale * kth, 0.0) * (1 + 1e-9) + 1e-12)
+        exact = (self.vectors[best] * query).sum(axis=1)
+        ids = self.ids[best]
+        first = np.lexsort((ids, -exact))[:k]
+        return ids[first], exact[first]
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
