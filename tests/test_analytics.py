@@ -42,11 +42,11 @@ def plain_history(master):
     )
 
 
-@pytest.mark.parametrize("hot_lines", [0, 1, 25, 150, 10_000])
-def test_hot_customers_get_the_same_history(skewed, rows, hot_lines, monkeypatch):
-    monkeypatch.setattr(enrich, "_COPIES_PER_ROW", 7)
+@pytest.mark.parametrize("copies", [1, 7, 1 << 16])
+def test_history_equals_plain_windows(skewed, rows, copies, monkeypatch):
+    monkeypatch.setattr(enrich, "_COPIES_PER_ROW", copies)
     want = plain_history(skewed)
-    assert rows(enrich.with_customer_history(skewed, hot_lines).select(*want.columns)) == rows(want)
+    assert rows(enrich.with_customer_history(skewed).select(*want.columns)) == rows(want)
 
 
 def test_repeat_flag_by_line_and_by_day(spark, rows):
@@ -71,10 +71,13 @@ def test_price_bucket_bounds(spark):
     assert labels == ["Under 20", "20–49.99", "20–49.99", "50–99.99", "50–99.99", "100+"]
 
 
-def test_tiers_distributed_or_not(skewed, rows):
-    for per_year in (False, True):
-        for tiers in (enrich.city_tiers, enrich.category_tiers):
-            assert rows(tiers(skewed, per_year)) == rows(tiers(skewed, per_year, distributed=True))
+def test_tiers_equal_plain_windows(skewed, rows):
+    for key, sales, tile, tiers in (("cust_city", "city_sales", "city_ntile", enrich.city_tiers), ("category_name", "category_sales", "category_ntile", enrich.category_tiers)):
+        for by in ([], ["order_year"]):
+            totals = skewed.withColumn("order_year", F.year("order_date").cast("bigint")).groupBy(*by, key).agg(F.sum("total_sales").alias(sales))
+            order = W.partitionBy(*by).orderBy(F.desc(sales), F.asc(key))
+            want = totals.withColumn(tile, F.ntile(3).over(order).cast("bigint"))
+            assert rows(tiers(skewed, bool(by)).select(*want.columns)) == rows(want)
 
 
 def test_metrics_accept_lines_and_star_base(skewed, rows):
@@ -183,9 +186,14 @@ def test_health_and_column_rules_fire(spark, rows):
         "customer_email_valid": 1,
         "product_name_filled": 1,
         "category_name_filled": 0,
+        "product_name_trimmed": 0,
+        "category_name_trimmed": 0,
         "date_key_eight_digits": 0,
         "date_key_matches_date": 3,
     }
+    loose = line(spark, (" A@x.org", "O ", D(2021, 1, 1), 1, "A ", 10, "K"), (None, None, D(2021, 1, 1), 1, "A", 10, "K"))
+    as_it_came = dict(rows(guardrails.column_rules(lines, dates, loose)))
+    assert [as_it_came[f"master_{n}"] for n in ("email_normalised", "city_trimmed", "product_name_trimmed", "category_name_trimmed")] == [2, 2, 1, 0]
 
 
 def test_parameters(spark, skewed):

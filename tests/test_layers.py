@@ -175,6 +175,11 @@ def test_id_gaps_against_brute_force(spark, limit):
     assert profiling.id_gaps(df.filter("id = 'x'"), "id").count() == 0
 
 
+def test_id_gaps_of_far_ids(spark):
+    df = spark.createDataFrame([("1",), ("3",), (str(10**18),)], "id string")
+    assert sorted(r.missing_id for r in profiling.id_gaps(df, "id", 4).collect()) == [2, 4, 5, 6]
+
+
 def test_duplicates_orphans_and_previews(spark, raw, rows):
     assert dict(rows(profiling.duplicate_keys(raw.named()))) == {
         "raw_customers": 1,

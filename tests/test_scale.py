@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from tillwright.operators import scale
-from tillwright.session import broadcast_if_small, materialise
+from tillwright.session import materialise
 
 
 def sample(spark, n, values, nulls=False, seed=1):
@@ -69,9 +69,7 @@ def test_exact_quantiles_with_a_hot_value(spark):
     assert (got["lo"], got["q1"], got["m"], got["hi"]) == (0, ordered[374], ordered[749], 999)
 
 
-def test_materialise_and_checked_broadcast(spark, rows):
+def test_materialise(spark, rows):
     df = sample(spark, 20, 5)
     stored = materialise(df)
     assert rows(stored) == rows(df) and stored.schema == df.schema
-    assert "ResolvedHint" in broadcast_if_small(stored)._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in broadcast_if_small(stored, rows=5)._jdf.queryExecution().analyzed().toString()

@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-PRICE_TYPE = "decimal(18,2)"
+# Times a quantity it gives decimal(38,9): amounts are exact to nine decimals.
+PRICE_TYPE = "decimal(18,9)"
 QTY_TYPE = "decimal(19,0)"
 
 # The date formats tried in turn. An ambiguous 03/04/2021 is read as 4 March.

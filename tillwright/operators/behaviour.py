@@ -45,10 +45,12 @@ def view_rfm(lines: DataFrame) -> DataFrame:
 
     The three rankings are global. Each customer becomes three rows (measure, value), so that one sort over all tasks
     ranks all measures (``scale.global_ntile``), and the scores are folded back onto one row per customer. Recency is
-    ranked by the negative day number of the last purchase, which needs no reference date.
+    ranked by the negative day number of the last purchase, which needs no reference date. All measures have the type of
+    the revenue, so that none is rounded.
     """
-    number = "decimal(38,2)"
-    measures = customer_days(lines).select(
+    days = customer_days(lines)
+    number = days.schema["revenue_total"].dataType
+    measures = days.select(
         "customer_sk",
         F.explode(
             F.array(

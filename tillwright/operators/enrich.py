@@ -16,8 +16,7 @@ PRICE_BOUNDS = (20, 50, 100)
 CITY_TIERS = ("Tier 1 (Top)", "Tier 2", "Tier 3 (Emerging)")
 CATEGORY_TIERS = ("Tier 1 (Core)", "Tier 2", "Tier 3 (Long tail)")
 
-# A customer with more lines than this is taken out of the per-customer windows.
-HOT_LINES = 5_000_000
+# Identical lines are unfolded in pieces of this many.
 _COPIES_PER_ROW = 1 << 16
 
 
@@ -53,41 +52,52 @@ def with_price_bucket(df: DataFrame) -> DataFrame:
 
 # ---- customer lifecycle and value ---------------------------------------------------------------------------
 
-# Order of a customer's lines. The last two columns make rows that tie on all of them identical.
-_SEQUENCE = ("order_date", "product_name", "category_name", "product_price", "total_sales", "cust_city", "order_qty")
+# Order of a customer's lines: by day, product, and then these; rows that tie on all of them are identical.
+_SEQUENCE_KEYS = ("cust_email", "order_date", "product_name")
+_SEQUENCE = ("category_name", "product_price", "total_sales", "cust_city", "order_qty")
 
 
-def with_customer_history(master: DataFrame, hot_lines: int = HOT_LINES, repeat_by_day: bool = False) -> DataFrame:
+def with_customer_history(master: DataFrame, repeat_by_day: bool = False) -> DataFrame:
     """First purchase, sequence number, repeat flag, lifetime value, number of lines and average line of a customer.
 
-    Lines without an email count as one customer. Ordinary customers go through windows that share one exchange. A
-    customer with more than ``hot_lines`` lines would make one task sort them all, so such customers (at most rows /
-    ``hot_lines`` of them, hence safe to broadcast) take another way to the same numbers, see ``_hot_history``.
-
-    ``master`` is read three times: pass a stored table.
+    Lines without an email count as one customer, which can have any share of all lines; so no window holds all lines of
+    a customer or of one of its days. Identical lines are counted instead of shipped. What lies before a line is the sum
+    of its customer's earlier days, of the day's earlier products (both windows over one row per day and per product of
+    a day), and of the earlier lines with the same product on that day.
 
     The repeat flag is a property of the line: the second line of a first basket already counts as repeat. With
     ``repeat_by_day=True`` only lines after the first day do.
     """
-    totals = master.groupBy(F.col("cust_email").alias("_email")).agg(
-        F.count("*").alias("customer_total_lines"),
-        F.min("order_date").alias("first_order_date"),
-        F.sum("total_sales").alias("customer_ltv_gross"),
-    )
-    hot = F.broadcast(totals.filter(F.col("customer_total_lines") > hot_lines))
-    same = F.col("cust_email").eqNullSafe(F.col("_email"))
-
+    columns = master.columns
+    distinct = master.groupBy(*columns).agg(F.count("*").alias("_copies"))
+    products = master.groupBy(*_SEQUENCE_KEYS).agg(F.count("*").alias("_n"), F.sum("total_sales").alias("_sales"))
+    days = products.groupBy("cust_email", "order_date").agg(F.sum("_n").alias("_n"), F.sum("_sales").alias("_sales"))
     customer = W.partitionBy("cust_email")
-    ordinary = master.join(hot, same, "left_anti").withColumns(
-        {
-            "first_order_date": F.min("order_date").over(customer),
-            "order_seq": F.row_number().over(customer.orderBy(*_SEQUENCE)).cast("bigint"),
-            "customer_ltv_gross": F.sum("total_sales").over(customer),
-            "customer_total_lines": F.count("*").over(customer),
-        }
+    per_day = days.select(
+        F.col("cust_email").alias("_e"),
+        F.col("order_date").alias("_d"),
+        (F.sum("_n").over(customer.orderBy("order_date").rowsBetween(W.unboundedPreceding, 0)) - F.col("_n")).alias("_days_before"),
+        F.sum("_n").over(customer).alias("customer_total_lines"),
+        F.min("order_date").over(customer).alias("first_order_date"),
+        F.sum("_sales").over(customer).alias("customer_ltv_gross"),
+    )
+    in_day = W.partitionBy("cust_email", "order_date").orderBy("product_name").rowsBetween(W.unboundedPreceding, 0)
+    same_day = F.col("cust_email").eqNullSafe(F.col("_e")) & F.col("order_date").eqNullSafe(F.col("_d"))
+    placed = products.withColumn("_day_before", F.sum("_n").over(in_day) - F.col("_n")).join(per_day, same_day)
+    history = ["first_order_date", "customer_ltv_gross", "customer_total_lines"]
+    offsets = placed.select("_e", "_d", F.col("product_name").alias("_p"), (F.col("_days_before") + F.col("_day_before")).alias("_before"), *history)
+    same = F.col("cust_email").eqNullSafe(F.col("_e")) & F.col("order_date").eqNullSafe(F.col("_d")) & F.col("product_name").eqNullSafe(F.col("_p"))
+    in_product = W.partitionBy(*_SEQUENCE_KEYS).orderBy(*_SEQUENCE).rowsBetween(W.unboundedPreceding, 0)
+    lines = (
+        distinct.withColumn("_last", F.sum("_copies").over(in_product))
+        .join(offsets, same)
+        .withColumn("_last", F.col("_before") + F.col("_last"))
+        .withColumn("_first", F.col("_last") - F.col("_copies") + 1)
+        .withColumn("_piece", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(_copies - 1) div {_COPIES_PER_ROW}"))))
+        .withColumn("_first", F.col("_first") + F.col("_piece") * _COPIES_PER_ROW)
+        .withColumn("order_seq", F.explode(F.sequence("_first", F.least("_last", F.col("_first") + (_COPIES_PER_ROW - 1)))))
+        .select(*columns, *history, "order_seq")
     )
-    spread = _hot_history(master.join(hot, same), master.columns)
-    lines = ordinary.unionByName(spread.select(*ordinary.columns))
     repeat = F.col("order_date") > F.col("first_order_date") if repeat_by_day else F.col("order_seq") > 1
     return lines.withColumns(
         {
@@ -98,54 +108,14 @@ def with_customer_history(master: DataFrame, hot_lines: int = HOT_LINES, repeat_
     )
 
 
-def _hot_history(lines: DataFrame, columns: list[str]) -> DataFrame:
-    """Sequence numbers of hot customers without a window over all their lines.
-
-    Identical lines are counted instead of shipped. Counts per customer and day give the number of lines before each
-    day (one row per day in a task), a window per customer and day orders the distinct lines of that day, and finally
-    every distinct line is unfolded into its copies, in chunks that are spread over the tasks first.
-    """
-    history = ["first_order_date", "customer_ltv_gross", "customer_total_lines"]
-    distinct = lines.groupBy(*columns, *history).agg(F.count("*").alias("_copies"))
-    days = distinct.groupBy(F.col("cust_email").alias("_e"), F.col("order_date").alias("_d")).agg(
-        F.sum("_copies").alias("_day_lines")
-    )
-    before = days.select(
-        "_e",
-        "_d",
-        (F.sum("_day_lines").over(W.partitionBy("_e").orderBy("_d").rowsBetween(W.unboundedPreceding, 0)) - F.col("_day_lines")).alias(
-            "_before"
-        ),
-    )
-    in_day = W.partitionBy("cust_email", "order_date").orderBy(*_SEQUENCE).rowsBetween(W.unboundedPreceding, 0)
-    placed = (
-        distinct.withColumn("_in_day", F.sum("_copies").over(in_day) - F.col("_copies"))
-        .join(before, F.col("cust_email").eqNullSafe(F.col("_e")) & F.col("order_date").eqNullSafe(F.col("_d")))
-        .withColumn("_last", F.col("_before") + F.col("_in_day") + F.col("_copies"))
-        .withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(_copies - 1) div {_COPIES_PER_ROW}"))))
-        .withColumn("_from", F.col("_before") + F.col("_in_day") + 1 + F.col("_chunk") * _COPIES_PER_ROW)
-        .withColumn("_to", F.least("_last", F.col("_from") + (_COPIES_PER_ROW - 1)))
-        .repartition("cust_email", "_from")
-    )
-    return placed.withColumn("order_seq", F.explode(F.sequence("_from", "_to"))).select(*columns, *history, "order_seq")
-
-
 # ---- tiers --------------------------------------------------------------------------------------------------
 
 
-def _tiers(
-    master: DataFrame, key: str, labels: tuple[str, ...], sales: str, tile: str, tier: str, per_year: bool, distributed: bool
-) -> DataFrame:
+def _tiers(master: DataFrame, key: str, labels: tuple[str, ...], sales: str, tile: str, tier: str, per_year: bool) -> DataFrame:
     lines = master.select(key, C.year("order_date").alias("order_year"), "total_sales") if per_year else master
     by = ["order_year"] if per_year else []
     totals = lines.groupBy(*by, key).agg(F.sum("total_sales").alias(sales))
-    order = [F.desc(sales), F.asc(key)]
-    if distributed:
-        tiled = global_ntile(totals, 3, order, tile, by)
-    else:
-        # One row per city (or category) is left at this point.
-        window = (W.partitionBy(*by) if by else W).orderBy(*order)
-        tiled = totals.withColumn(tile, F.ntile(3).over(window).cast("bigint"))
+    tiled = global_ntile(totals, 3, [F.desc(sales), F.asc(key)], tile, by)
     return tiled.withColumn(tier, _tier_label(tile, labels))
 
 
@@ -154,18 +124,14 @@ def _tier_label(tile: str, labels: tuple[str, ...]) -> Column:
     return F.when(F.col(tile) == 1, labels[0]).when(F.col(tile) == 2, labels[1]).otherwise(labels[2])
 
 
-def city_tiers(master: DataFrame, per_year: bool = False, distributed: bool = False) -> DataFrame:
-    """Cities in three tiers by sales, over all time or within each year; ties go by name.
-
-    ``distributed=True`` ranks without bringing all cities into one task, for free-text cities by the million.
-    """
-    return _tiers(master, "cust_city", CITY_TIERS, "city_sales", "city_ntile", "city_tier", per_year, distributed)
+def city_tiers(master: DataFrame, per_year: bool = False) -> DataFrame:
+    """Cities in three tiers by sales, over all time or within each year; ties go by name. Cities are free text, as many
+    as there may be: they are ranked without bringing them into one task."""
+    return _tiers(master, "cust_city", CITY_TIERS, "city_sales", "city_ntile", "city_tier", per_year)
 
 
-def category_tiers(master: DataFrame, per_year: bool = False, distributed: bool = False) -> DataFrame:
-    return _tiers(
-        master, "category_name", CATEGORY_TIERS, "category_sales", "category_ntile", "category_tier", per_year, distributed
-    )
+def category_tiers(master: DataFrame, per_year: bool = False) -> DataFrame:
+    return _tiers(master, "category_name", CATEGORY_TIERS, "category_sales", "category_ntile", "category_tier", per_year)
 
 
 def _lookup_tier(df: DataFrame, tiers: DataFrame, key: str, sales: str, tier: str, labels: tuple[str, ...], per_year: bool) -> DataFrame:
@@ -200,15 +166,13 @@ EXT_COLUMNS = MASTER_COLUMNS + (
 )
 
 
-def master_sales_ext(
-    master: DataFrame, tiers_per_year: bool = False, hot_lines: int = HOT_LINES, repeat_by_day: bool = False
-) -> DataFrame:
+def master_sales_ext(master: DataFrame, tiers_per_year: bool = False, repeat_by_day: bool = False) -> DataFrame:
     """The 26-column line table. ``master`` is read several times: pass a stored table.
 
     The tier look-ups carry no broadcast hint: small tier tables are broadcast by their measured size, large ones are
     joined by sort and merge.
     """
-    lines = with_price_bucket(with_time_breakdowns(with_customer_history(master, hot_lines, repeat_by_day)))
+    lines = with_price_bucket(with_time_breakdowns(with_customer_history(master, repeat_by_day)))
     cities = city_tiers(master, tiers_per_year)
     categories = category_tiers(master, tiers_per_year)
     lines = _lookup_tier(lines, cities, "cust_city", "city_sales", "city_tier", CITY_TIERS, tiers_per_year)

@@ -201,8 +201,11 @@ def clv_parity(lines: DataFrame, clv: DataFrame) -> DataFrame:
     )
 
 
-def column_rules(lines: DataFrame, dates: DataFrame) -> DataFrame:
-    """Violations per column rule; a NULL violates a rule as well."""
+def column_rules(lines: DataFrame, dates: DataFrame, master: DataFrame | None = None) -> DataFrame:
+    """Violations per column rule; a NULL violates a rule as well.
+
+    ``lines`` are normalised already (fact with its dimensions); ``master`` holds the columns as they came.
+    """
 
     def broken(rule: Column) -> Column:
         return F.count_if(~F.coalesce(rule, F.lit(False)))
@@ -216,6 +219,14 @@ def column_rules(lines: DataFrame, dates: DataFrame) -> DataFrame:
         "customer_email_valid": C.is_email(email),
         "product_name_filled": ~C.is_blank("product_name"),
         "category_name_filled": ~C.is_blank("category_name"),
+        "product_name_trimmed": F.col("product_name") == C.trim_all("product_name"),
+        "category_name_trimmed": F.col("category_name") == C.trim_all("category_name"),
+    }
+    master_rules = {
+        "master_email_normalised": F.col("cust_email") == F.lower(C.trim_all("cust_email")),
+        "master_city_trimmed": (F.col("cust_city") == C.trim_all("cust_city")) & ~C.is_blank("cust_city"),
+        "master_product_name_trimmed": F.col("product_name") == C.trim_all("product_name"),
+        "master_category_name_trimmed": F.col("category_name") == C.trim_all("category_name"),
     }
     date_rules = {
         "date_key_eight_digits": F.col("date_key").between(10_000_101, 99_991_231),
@@ -226,4 +237,5 @@ def column_rules(lines: DataFrame, dates: DataFrame) -> DataFrame:
         counts = df.agg(*[broken(rule).alias(name) for name, rule in rules.items()])
         return counts.unpivot([], list(rules), "rule", "violations")
 
-    return report(lines, line_rules).unionByName(report(dates, date_rules))
+    found = report(lines, line_rules).unionByName(report(dates, date_rules))
+    return found if master is None else found.unionByName(report(master, master_rules))

@@ -116,10 +116,13 @@ def v_category_performance(lines: DataFrame) -> DataFrame:
     return with_asp(resum(per_key(lines, "product_sk", PRODUCT), ["category_name"]))
 
 
+def product_totals(lines: DataFrame) -> DataFrame:
+    return with_asp(resum(per_key(lines, "product_sk", PRODUCT), PRODUCT))
+
+
 def v_top_products(lines: DataFrame) -> DataFrame:
-    totals = with_asp(resum(per_key(lines, "product_sk", PRODUCT), PRODUCT))
     order = [F.desc("sales"), F.asc("product_name"), F.asc("category_name")]
-    return global_running(totals, order, dense_by="sales", dense="sales_rank")
+    return global_running(product_totals(lines), order, dense_by="sales", dense="sales_rank")
 
 
 def _category_monthly(lines: DataFrame) -> DataFrame:

@@ -7,10 +7,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from tillwright.functions import columns as C
 from tillwright.operators.combine import one_row
 from tillwright.operators.scale import exact_quantiles
+from tillwright.session import materialise
 from tillwright.sources.retail import RawTables
 from tillwright.sources.sequences import numbers
 
@@ -22,8 +24,6 @@ RAW_KEYS = {
     "raw_product_category": "CategoryID",
 }
 
-_ID_BLOCK_BITS = 16
-
 
 def head_preview(df: DataFrame, n: int = 5) -> DataFrame:
     """First ``n`` rows in the order of all columns, so that the preview is reproducible."""
@@ -185,39 +185,23 @@ def price_profile(products: DataFrame, approx: bool = False, accuracy: int = 10_
     )
 
 
-def id_gaps(df: DataFrame, key: str, limit: int | None = 50) -> DataFrame:
-    """Lowest ``limit`` numbers between the smallest and largest key that no row has (all of them with ``None``).
+def id_gaps(df: DataFrame, key: str, limit: int | None = None) -> DataFrame:
+    """Numbers between the smallest and largest key that no row has; with ``limit`` the lowest ones only.
 
-    The distinct keys are counted per block of numbers. A full block holds no gap and is never expanded; each block
-    that is not full holds at least one, so the first ``limit`` such blocks hold the first ``limit`` gaps.
+    Gaps lie between neighbours, so the cost is that of sorting the distinct keys, however far apart they are. Each sorted
+    piece is read by itself, and the last key of a piece is bridged with the first one of the next.
     """
-    block = F.shiftright("id", _ID_BLOCK_BITS)
-    width = 1 << _ID_BLOCK_BITS
-    ids = df.select(C.safe_int(key).alias("id")).filter("id IS NOT NULL").distinct().withColumn("block", block)
-    present = ids.groupBy("block").agg(F.count("*").alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi"))
-    ends = present.agg(F.min("lo").alias("lo_id"), F.max("hi").alias("hi_id")).filter("lo_id IS NOT NULL")
-    all_blocks = numbers(
-        ends.select(
-            F.shiftright("lo_id", _ID_BLOCK_BITS).alias("lo"), F.shiftright("hi_id", _ID_BLOCK_BITS).alias("hi"), "lo_id", "hi_id"
-        ),
-        keep=["lo_id", "hi_id"],
-    ).withColumnRenamed("n", "block")
-    # The first and the last block are cut short by the range of the keys.
-    spans = all_blocks.join(present.select("block", "n"), "block", "left").select(
-        "block",
-        F.coalesce("n", F.lit(0)).alias("n"),
-        F.greatest("lo_id", F.col("block") * width).alias("lo"),
-        F.least("hi_id", (F.col("block") + 1) * width - 1).alias("hi"),
-    )
-    gappy = spans.filter("n < hi - lo + 1")
-    if limit is not None:
-        gappy = gappy.orderBy("block").limit(limit)
-    # gappy has at most `limit` rows here; without a limit the join is left to the measured sizes.
-    chosen = gappy.select("block")
-    nearby = ids.join(F.broadcast(chosen) if limit is not None else chosen, "block", "left_semi")
-    missing = numbers(gappy.select("lo", "hi"), width).select(F.col("n").alias("missing_id"))
-    missing = missing.join(nearby.select(F.col("id").alias("missing_id")), "missing_id", "left_anti")
-    return missing.orderBy("missing_id").limit(limit) if limit is not None else missing
+    ids = df.select(C.safe_int(key).alias("id")).filter("id IS NOT NULL").distinct()
+    pieces = materialise(ids.orderBy("id").select("id", F.shiftright(F.monotonically_increasing_id(), 33).alias("piece")), "ids")
+    inside = pieces.select("id", F.lead("id").over(W.partitionBy("piece").orderBy("id")).alias("next"))
+    # One row per sorted piece.
+    ends = pieces.groupBy("piece").agg(F.min("id").alias("lo"), F.max("id").alias("hi"))
+    between = ends.select(F.col("hi").alias("id"), F.lead("lo").over(W.orderBy("piece")).alias("next"))
+    gaps = inside.unionByName(between).filter("next > id + 1").select((F.col("id") + 1).alias("lo"), (F.col("next") - 1).alias("hi"))
+    if limit is None:
+        return numbers(gaps).select(F.col("n").alias("missing_id"))
+    first = gaps.orderBy("lo").limit(limit).select("lo", F.least("hi", F.col("lo") + (limit - 1)).alias("hi"))
+    return numbers(first).select(F.col("n").alias("missing_id")).orderBy("missing_id").limit(limit)
 
 
 def top_cities(customers: DataFrame, n: int = 10) -> DataFrame:

@@ -19,12 +19,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from tillwright.session import broadcast_if_small, materialise
+from tillwright.session import materialise
 
 # monotonically_increasing_id() holds the partition in the bits above 33 and the row within it below.
 _ROW_BITS = 33
 BLOCK_ROWS = 100_000
-# Blocks grow with the table, so that there are never more than this many and their totals can be broadcast.
+# Blocks grow with the table, so that there are never more than this many and their totals can be broadcast. Results do
+# not depend on the size of blocks.
 MAX_BLOCKS = 100_000
 
 
@@ -69,7 +70,7 @@ def global_ntile(df: DataFrame, n: int, order: Sequence[Column], name: str = "nt
         )
         same = [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by]
         numbered = (
-            numbered.join(broadcast_if_small(groups), same)
+            numbered.join(groups, same)
             .withColumn("_rn", F.col("_rn") - F.col("_start"))
             .withColumn("_n", F.col("_size"))
         )

@@ -206,11 +206,13 @@ def customer_averages(ext: DataFrame) -> DataFrame:
         F.count("*").alias("lines"),
         F.max("customer_total_lines").alias("total_lines"),
         F.max("customer_ltv_gross").alias("ltv"),
+        # Added up, not multiplied: a product of a count and an amount would lose decimals.
+        F.sum("customer_ltv_gross").alias("ltv_of_lines"),
     )
     lines = F.sum("lines")
     return customers.agg(
         C.safe_ratio(F.sum(F.col("lines") * F.col("total_lines")), lines).alias("avg_orders_per_customer"),
-        C.safe_ratio(F.sum(F.col("lines").cast(C.QTY_TYPE) * F.col("ltv")), lines).alias("avg_ltv_gross"),
+        C.safe_ratio(F.sum("ltv_of_lines"), lines).alias("avg_ltv_gross"),
         C.safe_ratio(F.sum("total_lines"), F.count("*")).alias("avg_orders_by_customer"),
         C.safe_ratio(F.sum("ltv"), F.count("*")).alias("avg_ltv_by_customer"),
     )

@@ -12,6 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillwright.functions.columns import PRICE_TYPE
 from tillwright.operators import enrich, master, metrics, star, staging
 from tillwright.session import materialise
 from tillwright.sources import files, retail
@@ -36,8 +37,8 @@ STAR_COLUMNS = (
 
 
 class Layers:
-    def __init__(self, raw: retail.RawTables):
-        self.raw = raw
+    def __init__(self, raw: retail.RawTables, price_type: str = PRICE_TYPE):
+        self.raw, self.price_type = raw, price_type
 
     @classmethod
     def from_test_data(cls, spark: SparkSession, folder: str) -> "Layers":
@@ -55,7 +56,7 @@ class Layers:
 
     @cached_property
     def products(self) -> DataFrame:
-        return staging.stg_products(self.raw.products)
+        return staging.stg_products(self.raw.products, self.price_type)
 
     @cached_property
     def orders(self) -> DataFrame:
@@ -133,7 +134,9 @@ class StoredLayers:
 
     @cached_property
     def base(self) -> DataFrame:
-        return star.v_base_sales(self.fact, self.dates, self.customer_dim, self.product_dim)
+        # The inner joins drop what the fact would not have.
+        lines = self.stored_lines.select("date_key", "customer_sk", "product_sk", "order_qty", "total_sales", "product_price")
+        return star.v_base_sales(lines, self.dates, self.customer_dim, self.product_dim)
 
 
 # The tables of a full build in dependency order. The line tables are stored by month: their month column, or the
@@ -153,7 +156,7 @@ TABLES: dict[str, str | None] = {
 }
 
 
-def build(spark: SparkSession, raw: retail.RawTables, folder: str, tiers_per_year: bool = False) -> dict[str, DataFrame]:
+def build(spark: SparkSession, raw: retail.RawTables, folder: str, tiers_per_year: bool = False, price_type: str = PRICE_TYPE) -> dict[str, DataFrame]:
     """Write all ten tables under ``folder``, each from the stored tables before it, and return their readers.
 
     A full rebuild replaces what is there.
@@ -171,7 +174,7 @@ def build(spark: SparkSession, raw: retail.RawTables, folder: str, tiers_per_yea
 
     customers = store("stg_customers", staging.stg_customers(raw.customers))
     categories = store("stg_product_category", staging.stg_product_category(raw.categories))
-    products = store("stg_products", staging.stg_products(raw.products))
+    products = store("stg_products", staging.stg_products(raw.products, price_type))
     orders = store("stg_orders", staging.stg_orders(raw.orders, customers, products))
     sales = store("master_sales", master.master_sales(orders, customers, products, categories))
     store("master_sales_ext", enrich.master_sales_ext(sales, tiers_per_year))

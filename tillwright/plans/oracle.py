@@ -15,7 +15,7 @@ def _int(x: str) -> str:
 
 
 def _price(x: str) -> str:
-    return f"try_cast({x} AS DECIMAL(18,2))"
+    return f"try_cast({x} AS DECIMAL(18,9))"
 
 
 def _key(x: str) -> str:
@@ -53,13 +53,15 @@ _PARTS = {
         SELECT CASE WHEN p_partkey % 10 = 0 THEN ' P' || p_partkey || ' ' ELSE 'P' || p_partkey END AS ProdNumber,
                p_name || ' ' || p_partkey AS ProdName,
                CASE WHEN p_partkey % 97 = 5 THEN 'bad' ELSE cid::VARCHAR END AS Category,
-               CASE WHEN p_partkey % 101 = 7 THEN '0' WHEN p_partkey % 103 = 9 THEN 'n/a'
+               CASE WHEN p_partkey % 101 = 7 THEN '0' WHEN p_partkey % 103 = 9 THEN 'n/a' WHEN p_partkey % 59 = 3 THEN '19.995'
+                    WHEN p_partkey % 61 = 4 THEN (p_size * 2.5 + 2.494567)::DECIMAL(12,6)::VARCHAR
                     ELSE (p_size * 2.5 + 2.49)::DECIMAL(10,2)::VARCHAR END AS Price
         FROM part JOIN cat_ids USING (p_type) JOIN range(2) AS copy(i) ON i = 0 OR p_partkey % 50 = 1""",
     "raw_customers": """
         SELECT CASE WHEN c_custkey % 53 = 11 THEN 'X' || c_custkey ELSE c_custkey::VARCHAR END AS CustomerID,
                'Customer' AS FirstName, ' ' || c_custkey || ' ' AS LastName,
-               CASE WHEN c_custkey % 41 = 4 THEN 'bad-email-' || c_custkey
+               CASE WHEN c_custkey % 37 = 5 THEN NULL WHEN c_custkey % 47 = 6 THEN ' c' || c_custkey || '@example.com'
+                    WHEN c_custkey % 41 = 4 THEN 'bad-email-' || c_custkey
                     WHEN c_custkey % 3 = 0 THEN 'C' || c_custkey || '@Example.com#mailto:C' || c_custkey || '@Example.com#'
                     WHEN c_custkey % 3 = 1 THEN 'mailto:c' || c_custkey || '@example.com'
                     ELSE 'c' || c_custkey || '@example.com' END AS CustomerEmail,
@@ -70,7 +72,8 @@ _PARTS = {
         FROM customer JOIN nation ON n_nationkey = c_nationkey""",
     "raw_orders": """
         SELECT l_orderkey::VARCHAR AS OrderID,
-               CASE WHEN l_orderkey % 3 = 0 THEN strftime(o_orderdate, '%Y-%m-%d')
+               CASE WHEN l_orderkey % 211 = 9 OR strftime(o_orderdate, '%Y-%m') = '1997-02' THEN NULL
+                    WHEN l_orderkey % 3 = 0 THEN strftime(o_orderdate, '%Y-%m-%d')
                     WHEN l_orderkey % 3 = 2 AND day(o_orderdate) > 12 THEN strftime(o_orderdate, '%d/%m/%Y')
                     ELSE strftime(o_orderdate, '%m/%d/%Y') END AS "Date",
                o_custkey::VARCHAR AS CustomerID,

@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # A join with one hot key is split by adaptive execution even when that costs one more exchange further up.
 RUNTIME_CONF = {
@@ -68,11 +67,3 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     path = f"{shared_folder(spark).rstrip('/')}/tillwright-{label}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def broadcast_if_small(df: DataFrame, rows: int = 100_000) -> DataFrame:
-    """Broadcast hint for a narrow ``df`` of at most ``rows`` rows; a larger one is returned as it is.
-
-    The rows are counted (up to the limit), so give a frame that is cheap to compute twice.
-    """
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -1,7 +1,7 @@
 """Raw retail tables derived from the TPC-H-like test data.
 
 The test data is clean, so fixed arithmetic on its keys adds the dirt (blanks, bad numbers, mixed date formats,
-repeated and orphan keys) that the cleansing layer exists for. All columns are text, as in a raw load.
+missing emails and dates, a month without orders, long fractions, repeated and orphan keys) that the cleansing layer exists for. All columns are text, as in a raw load.
 """
 
 from __future__ import annotations
@@ -67,7 +67,8 @@ class TestDataTables(RawTables):
                 "CASE WHEN p_partkey % 10 = 0 THEN ' P' || p_partkey || ' ' ELSE 'P' || p_partkey END AS ProdNumber",
                 "p_name || ' ' || p_partkey AS ProdName",
                 "CASE WHEN p_partkey % 97 = 5 THEN 'bad' ELSE category_id END AS Category",
-                """CASE WHEN p_partkey % 101 = 7 THEN '0' WHEN p_partkey % 103 = 9 THEN 'n/a'
+                """CASE WHEN p_partkey % 101 = 7 THEN '0' WHEN p_partkey % 103 = 9 THEN 'n/a' WHEN p_partkey % 59 = 3 THEN '19.995'
+                        WHEN p_partkey % 61 = 4 THEN CAST(CAST(p_size * 2.5 + 2.494567 AS decimal(12,6)) AS string)
                         ELSE CAST(CAST(p_size * 2.5 + 2.49 AS decimal(10,2)) AS string) END AS Price""",
             )
         )
@@ -81,7 +82,8 @@ class TestDataTables(RawTables):
                 "CASE WHEN c_custkey % 53 = 11 THEN 'X' || c_custkey ELSE CAST(c_custkey AS string) END AS CustomerID",
                 "'Customer' AS FirstName",
                 "' ' || c_custkey || ' ' AS LastName",
-                """CASE WHEN c_custkey % 41 = 4 THEN 'bad-email-' || c_custkey
+                """CASE WHEN c_custkey % 37 = 5 THEN NULL WHEN c_custkey % 47 = 6 THEN ' c' || c_custkey || '@example.com'
+                        WHEN c_custkey % 41 = 4 THEN 'bad-email-' || c_custkey
                         WHEN c_custkey % 3 = 0 THEN 'C' || c_custkey || '@Example.com#mailto:C' || c_custkey || '@Example.com#'
                         WHEN c_custkey % 3 = 1 THEN 'mailto:c' || c_custkey || '@example.com'
                         ELSE 'c' || c_custkey || '@example.com' END AS CustomerEmail""",
@@ -103,7 +105,8 @@ class TestDataTables(RawTables):
             .join(days.hint("merge"), "l_orderkey")
             .selectExpr(
                 "CAST(l_orderkey AS string) AS OrderID",
-                """CASE WHEN l_orderkey % 3 = 0 THEN date_format(day, 'yyyy-MM-dd')
+                """CASE WHEN l_orderkey % 211 = 9 OR date_format(day, 'yyyy-MM') = '1997-02' THEN NULL
+                        WHEN l_orderkey % 3 = 0 THEN date_format(day, 'yyyy-MM-dd')
                         WHEN l_orderkey % 3 = 2 AND day(day) > 12 THEN date_format(day, 'dd/MM/yyyy')
                         ELSE date_format(day, 'MM/dd/yyyy') END AS Date""",
                 "CAST(o_custkey AS string) AS CustomerID",
