@@ -13,7 +13,7 @@ import time
 from pathlib import Path
 
 from tillwright.plans import registry
-from tillwright.session import local_session
+from tillwright.session import local_session, release
 
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -46,6 +46,11 @@ HEADLINE = (
     "view_pareto_products",
     "view_clv_simple",
     "guard_global_parity",
+    "guard_month_coverage",
+    "guard_rfm_coverage",
+    "guard_problem_samples",
+    "city_tiers_all",
+    "sl_repeat_rate",
     "sl_dashboard_slice_aov_by_month",
 )
 
@@ -53,7 +58,9 @@ HEADLINE = (
 def timed(spark, name: str) -> float:
     start = time.perf_counter()
     registry.run(name, spark, FOLDER).write.format("noop").mode("overwrite").save()
-    return time.perf_counter() - start
+    seconds = time.perf_counter() - start
+    release(spark)
+    return seconds
 
 
 def main() -> None:

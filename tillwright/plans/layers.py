@@ -7,6 +7,8 @@ go to the shared folder of the session and belong to that query alone. ``build``
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable, Mapping
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tillwright.functions.columns import PRICE_TYPE
 from tillwright.operators import enrich, master, metrics, star, staging
-from tillwright.session import materialise
+from tillwright.session import materialise, temporary_tables
 from tillwright.sources import files, retail
 from tillwright.sources.sequences import date_bounds
 
@@ -91,6 +93,29 @@ class Layers:
         return metrics.v_sales_monthly(self.lines)
 
 
+class TableLayers(Layers):
+    """The layers of a finished build: ``tables`` by name, as ``build`` returns them or read back later."""
+
+    def __init__(self, tables: Mapping[str, DataFrame]):
+        self.tables = tables
+        self.customers, self.categories = tables["stg_customers"], tables["stg_product_category"]
+        self.products, self.orders = tables["stg_products"], tables["stg_orders"]
+        self.master, self.ext = tables["master_sales"], tables["master_sales_ext"]
+
+    @classmethod
+    def from_folder(cls, spark: SparkSession, folder: str) -> "TableLayers":
+        return cls({name: spark.read.parquet(f"{folder.rstrip('/')}/{name}") for name in TABLES})
+
+    @classmethod
+    def from_database(cls, spark: SparkSession, database: str) -> "TableLayers":
+        return cls({name: spark.table(f"{database}.{name}") for name in TABLES})
+
+    @cached_property
+    def lines(self) -> DataFrame:
+        t = self.tables
+        return star.v_base_sales(t["fact_sales"], t["dim_date"], t["dim_customer"], t["dim_product"])
+
+
 class StoredLayers:
     """The plans of ``layers``, and the tables that one query stores on the way."""
 
@@ -156,31 +181,70 @@ TABLES: dict[str, str | None] = {
 }
 
 
-def build(spark: SparkSession, raw: retail.RawTables, folder: str, tiers_per_year: bool = False, price_type: str = PRICE_TYPE) -> dict[str, DataFrame]:
+def build(
+    spark: SparkSession, raw: retail.RawTables, folder: str, tiers_per_year: bool = False, price_type: str = PRICE_TYPE
+) -> dict[str, DataFrame]:
     """Write all ten tables under ``folder``, each from the stored tables before it, and return their readers.
 
-    A full rebuild replaces what is there.
+    A full rebuild replaces what is there, one table after the other; see ``build_database`` for a switch at the end.
     """
+
+    def store(name: str, df: DataFrame, partition_by: list[str]) -> DataFrame:
+        path = f"{folder.rstrip('/')}/{name}"
+        files.write_parquet(df, path, partition_by)
+        return spark.read.schema(df.schema).parquet(path)
+
+    return _build(spark, raw, store, tiers_per_year, price_type)
+
+
+def build_database(
+    spark: SparkSession, raw: retail.RawTables, database: str, tiers_per_year: bool = False, price_type: str = PRICE_TYPE
+) -> str:
+    """Write all ten tables as managed tables of a run of its own, and switch the views ``database.<name>`` to them when
+    all are complete: readers see the last complete run, also if this one fails. Returns the name of the run, which ends
+    the names of its tables; ``drop_runs`` removes those of other runs."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    run = uuid.uuid4().hex[:12]
+
+    def store(name: str, df: DataFrame, partition_by: list[str]) -> DataFrame:
+        files.write_table(df, f"{database}.{name}_{run}", partition_by)
+        return spark.table(f"{database}.{name}_{run}")
+
+    for name, table in _build(spark, raw, store, tiers_per_year, price_type).items():
+        columns = ", ".join(f"`{c}`" for c in table.columns)
+        spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT {columns} FROM {database}.{name}_{run}")
+    return run
+
+
+def drop_runs(spark: SparkSession, database: str, keep: str) -> None:
+    for table in spark.catalog.listTables(database):
+        name, _, run = table.name.rpartition("_")
+        if name in TABLES and run != keep and table.tableType == "MANAGED":
+            spark.sql(f"DROP TABLE {database}.{table.name}")
+
+
+def _build(
+    spark: SparkSession, raw: retail.RawTables, store_as: Callable[[str, DataFrame, list[str]], DataFrame], tiers_per_year: bool, price_type: str
+) -> dict[str, DataFrame]:
     stored: dict[str, DataFrame] = {}
 
     def store(name: str, df: DataFrame) -> DataFrame:
-        path = f"{folder.rstrip('/')}/{name}"
         month = TABLES[name]
         laid_out = df if month is None or month in df.columns else df.withColumn("stored_month", F.expr(month))
         column = month if month in df.columns else "stored_month"
-        files.write_parquet(laid_out, path, [column] if month else [])
-        stored[name] = spark.read.schema(laid_out.schema).parquet(path).select(*df.columns)
+        stored[name] = store_as(name, laid_out, [column] if month else []).select(*df.columns)
         return stored[name]
 
-    customers = store("stg_customers", staging.stg_customers(raw.customers))
-    categories = store("stg_product_category", staging.stg_product_category(raw.categories))
-    products = store("stg_products", staging.stg_products(raw.products, price_type))
-    orders = store("stg_orders", staging.stg_orders(raw.orders, customers, products))
-    sales = store("master_sales", master.master_sales(orders, customers, products, categories))
-    store("master_sales_ext", enrich.master_sales_ext(sales, tiers_per_year))
-    lines = star.sales_lines(sales)
-    dates = store("dim_date", star.dim_date(date_bounds(lines)))
-    buyers = store("dim_customer", star.dim_customer(lines))
-    goods = store("dim_product", star.dim_product(lines))
-    store("fact_sales", star.fact_sales(lines, dates, buyers, goods))
+    with temporary_tables(spark):
+        customers = store("stg_customers", staging.stg_customers(raw.customers))
+        categories = store("stg_product_category", staging.stg_product_category(raw.categories))
+        products = store("stg_products", staging.stg_products(raw.products, price_type))
+        orders = store("stg_orders", staging.stg_orders(raw.orders, customers, products))
+        sales = store("master_sales", master.master_sales(orders, customers, products, categories))
+        store("master_sales_ext", enrich.master_sales_ext(sales, tiers_per_year))
+        lines = star.sales_lines(sales)
+        dates = store("dim_date", star.dim_date(date_bounds(lines)))
+        buyers = store("dim_customer", star.dim_customer(lines))
+        goods = store("dim_product", star.dim_product(lines))
+        store("fact_sales", star.fact_sales(lines, dates, buyers, goods))
     return stored

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from typing import NamedTuple
-from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,10 +19,11 @@ from tillwright.operators import profiling as dq
 from tillwright.operators import semantic as sl
 from tillwright.operators import staging as st
 from tillwright.operators import star as dm
-from tillwright.plans.layers import Layers, StoredLayers
+from tillwright.plans.layers import Layers, StoredLayers, TableLayers, build
 from tillwright.plans.oracle import sql
-from tillwright.session import tune
-from tillwright.sources import files, sequences
+from tillwright.plans.views import register_views
+from tillwright.session import shared_folder, tune
+from tillwright.sources import sequences
 
 
 class Query(NamedTuple):
@@ -892,17 +893,26 @@ _add(
         FROM ext WHERE year(order_date) = 1997 AND price_bucket = '100+' GROUP BY ALL""",
 )
 
+# ---- views over a stored build ------------------------------------------------------------------------------
+
+
+def _by_sql(L: StoredLayers, text: str) -> DataFrame:
+    """Build all tables from the raw ones, register the views over them, and ask by SQL."""
+    spark = L.raw.categories.sparkSession
+    tables = build(spark, L.raw, f"{shared_folder(spark).rstrip('/')}/tillwright-mart-{uuid.uuid4().hex}")
+    register_views(TableLayers(tables), ["v_sales_monthly", "v_category_performance"])
+    return spark.sql(text)
 
-# ---- driver interface ---------------------------------------------------------------------------------------
 
+_add(
+    "mart_monthly_by_sql",
+    lambda L: _by_sql(L, "SELECT order_ym, sales, qty, active_customers FROM v_sales_monthly WHERE sales > 0"),
+    "SELECT order_ym, sales::DOUBLE AS sales, qty::BIGINT AS qty, active_customers FROM monthly WHERE sales > 0",
+)
 
-# Plans only, no data: the layers of a folder are wired once per session. What a query stores is its own.
-_PLANS: WeakKeyDictionary[SparkSession, dict[str, Layers]] = WeakKeyDictionary()
+# ---- driver interface ---------------------------------------------------------------------------------------
 
 
 def run(name: str, spark: SparkSession, folder: str) -> DataFrame:
-    """One registered query over the test data in ``folder``."""
-    known = _PLANS.setdefault(tune(spark), {})
-    if folder not in known:
-        known[folder] = Layers.from_test_data(spark, folder)
-    return portable(QUERIES[name].run(StoredLayers(known[folder])))
+    """One registered query over the test data in ``folder``. What it stores on the way stays until ``session.release``."""
+    return portable(QUERIES[name].run(StoredLayers(Layers.from_test_data(tune(spark), folder))))

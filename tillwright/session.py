@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,14 +59,37 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_STORED: WeakKeyDictionary[SparkSession, list[str]] = WeakKeyDictionary()
+
+
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it back.
 
     Used where a result feeds several branches, or where it must not be computed twice because it depends on
     sampled range bounds. Unlike a cached frame it survives the loss of executors, and unlike a checkpoint it keeps
-    column pruning and filter pushdown for its readers.
+    column pruning and filter pushdown for its readers. The table stays until ``release`` or the end of a
+    ``temporary_tables`` block.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/tillwright-{label}-{uuid.uuid4().hex}"
+    _STORED.setdefault(spark, []).append(path)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession, keep: int = 0) -> None:
+    """Delete the tables this session has stored, but for the first ``keep``."""
+    stored = _STORED.get(spark, [])
+    while len(stored) > keep:
+        path = spark._jvm.org.apache.hadoop.fs.Path(stored.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """What is stored inside the block is deleted at its end; write or collect results before."""
+    before = len(_STORED.get(spark, []))
+    try:
+        yield
+    finally:
+        release(spark, before)

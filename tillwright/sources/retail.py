@@ -35,9 +35,13 @@ class TestDataTables(RawTables):
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._found: dict[str, DataFrame] = {}
 
     def _read(self, name: str) -> DataFrame:
-        return read_parquet(self.spark, self.folder, name)
+        """A table of the folder; its schema is looked up once for this object, since every look-up is a job."""
+        if name not in self._found:
+            self._found[name] = read_parquet(self.spark, self.folder, name)
+        return self._found[name]
 
     @cached_property
     def _category_ids(self) -> DataFrame:
