@@ -88,12 +88,12 @@ def duplicate_keys(tables: Mapping[str, DataFrame], keys: Mapping[str, str] = RA
     return reduce(DataFrame.unionByName, parts)
 
 
-def rows_without_partner(left: DataFrame, right: DataFrame, key: str, right_key: str, name: str) -> DataFrame:
-    """Number of ``left`` rows whose key is missing or absent from ``right``.
+def rows_without_partner(left: DataFrame, right: DataFrame, key: str, right_key: str, name: str, rows: Column | None = None) -> DataFrame:
+    """Number of ``left`` rows whose key is missing or absent from ``right``; ``rows`` says how many a row stands for.
 
     Both sides are reduced to one row per key before they meet, so that a hot key is a single row with a count.
     """
-    mine = left.groupBy(F.col(key).alias("k")).agg(F.count("*").alias("n"))
+    mine = left.groupBy(F.col(key).alias("k")).agg((F.count("*") if rows is None else F.sum(rows)).alias("n"))
     theirs = right.select(F.col(right_key).alias("k")).distinct()
     return mine.join(theirs, "k", "left_anti").agg(F.coalesce(F.sum("n"), F.lit(0).cast("bigint")).alias(name))
 
@@ -216,18 +216,24 @@ def top_products_by_qty(orders: DataFrame, n: int = 10) -> DataFrame:
 
 
 def summary_snapshot(raw: RawTables) -> DataFrame:
-    """Eight totals on one row; each table is read once for its own counts."""
+    """Eight totals on one row. Order lines are counted by customer and product once; all that is asked of them is added
+    up from these counts."""
+    counted = raw.orders.groupBy("CustomerID", "ProdNumber").agg(
+        F.count("*").alias("lines"), _non_positive(C.safe_int("Quantity")).alias("bad_lines")
+    )
+    lines = F.col("lines")
     return one_row(
         raw.customers.agg(F.count("*").alias("total_customers")),
-        raw.orders.agg(
-            F.count("*").alias("total_orders"), _non_positive(C.safe_int("Quantity")).alias("invalid_qty")
+        counted.agg(
+            F.coalesce(F.sum("lines"), F.lit(0).cast("bigint")).alias("total_orders"),
+            F.coalesce(F.sum("bad_lines"), F.lit(0).cast("bigint")).alias("invalid_qty"),
         ),
         raw.products.agg(
             F.count("*").alias("total_products"), _non_positive(C.safe_decimal("Price")).alias("invalid_price")
         ),
         raw.categories.agg(F.count("*").alias("total_categories")),
-        orphan_orders_no_customer(raw.orders, raw.customers),
-        orphan_orders_no_product(raw.orders, raw.products),
+        rows_without_partner(counted, raw.customers, "CustomerID", "CustomerID", "orphan_orders_no_customer", lines),
+        rows_without_partner(counted, raw.products, "ProdNumber", "ProdNumber", "orphan_orders_no_product", lines),
     ).select(
         "total_customers",
         "total_orders",

@@ -163,7 +163,9 @@ def metrics() -> dict[str, Column]:
 
 
 def summarise(ext: DataFrame, names: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Named metrics, grouped by columns or calculated fields."""
+    """Named metrics, grouped by columns or calculated fields. Several counts of customers go through ``customer_mix``."""
+    if {"n_new_customers", "n_repeat_customers", "repeat_rate"}.intersection(names) and set(names) <= set(_REPEAT_METRICS):
+        return customer_mix(ext, by).select(*by, *names)
     fields, chosen = calculated_fields(), metrics()
     keys = [fields[d].alias(d) if d in fields and d not in ext.columns else F.col(d) for d in by]
     return ext.groupBy(*keys).agg(*[chosen[name].alias(name) for name in names])
