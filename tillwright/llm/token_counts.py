@@ -9,7 +9,7 @@ pre-tokens of frequency times pieces. The steps:
 2. Pre-tokens that are one piece of the vocabulary by themselves need no look-up (the vocabulary has a fixed size); they
    are added up in the block. These are the frequent ones, so no key of the shuffle is hot.
 3. The rows of a pre-token come together, sorted, in one task. There its pieces are counted, once, and joined to its
-   rows in a merge that streams; the products are summed by document.
+   rows in a merge that streams; the products are summed by document, packed by block.
 
 Texts are split at single blanks between other characters, where a new pre-token always begins. What stands between is
 split once for each distinct stretch in a block: by the tokenizer, or, for common characters, from a table of what the
@@ -36,6 +36,7 @@ _BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 # Keys of rows that carry the documents of a block; no pre-token of a byte-level tokenizer holds a line end.
 _DOCUMENTS = "\n"
 _PROBES = (" don't", "we'll", " l'Été", " x1y22z", "!?a--b", " 'S", " 3.14%", " a_b", "x\ny", " x.\n12", " ¿qué?", "½x²", " Ĳſǅ", "'", " ''s")
+_SUM = [("row", "<u2"), ("n", "<u4")]
 _DOCUMENT = [("doc_id", "<i8"), ("null", "u1"), ("bytes", "<u8"), ("tokens", "<u8")]
 
 
@@ -189,7 +190,7 @@ def postings(docs: DataFrame, tokenizer: str) -> DataFrame:
 
 
 def _products(tokenizer: str):
-    """Row by row of a block: its document, or tokens to be added to it, added up as far as they come together."""
+    """By block: its documents, or tokens to be added to them, packed and added up as far as they come together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter = Splitter(tokenizer)
@@ -199,9 +200,10 @@ def _products(tokenizer: str):
 
         def added() -> pa.RecordBatch:
             key, which = np.unique(np.concatenate(keys), return_inverse=True)
-            total = np.bincount(which, weights=np.concatenate(sums)).astype(np.int64)
-            nothing = pa.nulls(len(key), pa.int64())
-            return pa.RecordBatch.from_arrays([pa.array(key), nothing, nothing, pa.array(total)], ["row", "doc_id", "n_bytes", "n_tokens"])
+            entries = np.zeros(len(key), dtype=_SUM)
+            entries["row"], entries["n"] = key & 0xFFFF, np.bincount(which, weights=np.concatenate(sums))
+            block, counts = np.unique(key >> 16, return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(block), pa.nulls(len(block), pa.binary()), _packed(entries, counts)], ["block", "documents", "sums"])
 
         for batch in batches:
             names, bodies = batch.column("token").to_pylist(), batch.column("rows").to_pylist()
@@ -210,12 +212,7 @@ def _products(tokenizer: str):
             times = np.zeros(len(names), dtype=np.int64)
             for i, (name, body) in enumerate(zip(names, bodies, strict=True)):
                 if name.startswith(_DOCUMENTS):
-                    d = np.frombuffer(body, dtype=_DOCUMENT)
-                    ids = pa.array(d["doc_id"].astype(np.int64), mask=d["null"].astype(bool))
-                    rows = pa.array((int(blocks[i]) << 16) + np.arange(len(d)))
-                    yield pa.RecordBatch.from_arrays(
-                        [rows, ids, pa.array(d["bytes"].astype(np.int64)), pa.array(d["tokens"].astype(np.int64))], ["row", "doc_id", "n_bytes", "n_tokens"]
-                    )
+                    yield pa.RecordBatch.from_arrays([pa.array([blocks[i]]), pa.array([body]), pa.nulls(1, pa.binary())], ["block", "documents", "sums"])
                     bodies[i] = b""
                     continue
                 if name != last:
@@ -234,6 +231,33 @@ def _products(tokenizer: str):
     return run
 
 
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of a block come one after the other: its documents with all that is to be added to them."""
+    at: int | None = None
+    documents: np.ndarray | None = None
+    total = np.zeros(1 << 16)
+
+    def finished() -> pa.RecordBatch:
+        ids = pa.array(documents["doc_id"].astype(np.int64), mask=documents["null"].astype(bool))
+        tokens = documents["tokens"].astype(np.int64) + total[: len(documents)].astype(np.int64)
+        return pa.RecordBatch.from_arrays([ids, pa.array(documents["bytes"].astype(np.int64)), pa.array(tokens)], ["doc_id", "n_bytes", "n_tokens"])
+
+    for batch in batches:
+        for block, found, sums in zip(*(batch.column(c).to_pylist() for c in ("block", "documents", "sums")), strict=True):
+            if block != at:
+                if documents is not None:
+                    yield finished()
+                at, documents = block, None
+                total[:] = 0
+            if found is not None:
+                documents = np.frombuffer(found, dtype=_DOCUMENT)
+            else:
+                entries = np.frombuffer(sums, dtype=_SUM)
+                total[entries["row"]] += entries["n"]
+    if documents is not None:
+        yield finished()
+
+
 def token_counts(docs: DataFrame, tokenizer: str) -> DataFrame:
     """``doc_id``, ``n_bytes`` (UTF-8) and ``n_tokens`` of every row of ``docs`` (``doc_id``, ``text``).
 
@@ -242,6 +266,6 @@ def token_counts(docs: DataFrame, tokenizer: str) -> DataFrame:
     blocks are numbered by partition, also if a lost task reads them again.
     """
     together = postings(docs, tokenizer).repartition("token").sortWithinPartitions("token")
-    parts = together.mapInArrow(_products(tokenizer), "row long, doc_id long, n_bytes long, n_tokens long")
-    summed = parts.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.max("n_bytes").alias("n_bytes"), F.sum("n_tokens").alias("n_tokens"))
-    return summed.drop("row")
+    parts = together.mapInArrow(_products(tokenizer), "block long, documents binary, sums binary")
+    by_block = parts.repartition("block").sortWithinPartitions("block")
+    return by_block.mapInArrow(_summed, "doc_id long, n_bytes long, n_tokens long")
