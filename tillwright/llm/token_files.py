@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 FRAME_BYTES = 1 << 20
-CACHED_WORDS = 350_000
+CACHED_WORDS = 450_000
 # Fixed values of the zstandard formats: a skippable frame's first word, the seek table's kind and last word.
 _SKIPPABLE, _SEEK_TABLE, _SEEKABLE = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
 _ENTRY, _FOOTER, _INDEX = "<III", "<IBI", "<qqQQ"
@@ -39,6 +39,18 @@ _INT64_MIN = -(1 << 63)
 _PROBES = ("don't", "WE'LL", "l'Été", "x1y22z", "!?a--b", "'S", "rock'n'roll", "3.14%", "a_b", "ÀÉÎÕÜ", "¿qué?", "½x²", "''", "Ĳſǅ")
 
 
+class _Known(dict):
+    """Ids of words, encoded when first asked for."""
+
+    def __init__(self, encode) -> None:
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, word: bytes) -> bytes:
+        self[word] = ids = self.encode(word)
+        return ids
+
+
 class Encoder:
     """Token ids of texts, as uint32 bytes, for tokenizers that drop blanks and never look across them.
 
@@ -55,11 +67,14 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.end = b"" if end_id is None else struct.pack("<I", end_id)
-        self.known: dict[bytes, bytes] = {}
+        self.known = _Known(self._encoded)
         self.pieces: dict[str, bytes] = {}
         self._learn()
         if any(self._short(w) != self._whole(w) for w in _PROBES):
             self.simple = re.compile("(?!)")
+        # Where the library makes all text lower-case, A-Z can be lowered first: fewer different words.
+        self.lowers = self._whole("AbC") == self._whole("abc")
+        self.special_lower = [s.lower().encode() for s in self.special]
 
     def _learn(self) -> None:
         """Lower case and byte form of single characters, and whether they are letters, digits or neither."""
@@ -97,17 +112,20 @@ class Encoder:
 
     def __call__(self, texts: Iterable[bytes]) -> Iterator[bytes]:
         for text in texts:
-            words = text.split()
+            if self.lowers:
+                low = text.lower()
+                # Special strings are told by their case.
+                text = text if any(s in low for s in self.special_lower) else low
             if len(self.known) > CACHED_WORDS:
-                self.known = {}
+                self.known.clear()
             if len(self.pieces) > CACHED_WORDS:
-                self.pieces = {}
-            known = self.known
-            for raw in {w for w in words if w not in known}:
-                word = raw.decode()
-                simple = self.simple.fullmatch(word) and not any(s in word for s in self.special)
-                known[raw] = self._short(word) if simple else self._whole(word)
-            yield b"".join([*map(known.__getitem__, words), self.end])
+                self.pieces.clear()
+            yield b"".join([*map(self.known.__getitem__, text.split()), self.end])
+
+    def _encoded(self, raw: bytes) -> bytes:
+        word = raw.decode()
+        simple = self.simple.fullmatch(word) and not any(s in word for s in self.special)
+        return self._short(word) if simple else self._whole(word)
 
 
 class Writer:
