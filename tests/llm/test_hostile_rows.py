@@ -277,6 +277,31 @@ def test_pages(spark):
     assert main_text("<article>" + f"<p>{text}</p>" * 20_000 + "</article>").count(text) == 20_000
 
 
+def test_pages_with_open_heads_and_named_wrappers():
+    from tillwright.llm.extraction import main_text
+
+    text = "This is the text of an article, and it has words that are in any of the texts which people write for others to read. " * 3
+    text = text.strip()
+    other = "There is more to be said about the days that were, and what we would do if all of it came back to us in one night."
+    assert main_text(f"<html><head><title>T</title><meta charset=utf-8><body><p>{text}</p></body></html>") == text
+    assert main_text(f"<head><title>T</title><link rel=x><p>{text}</p>") == text
+    assert main_text(f"<head><title>T</title><noscript><body><p>{text}</p>") == text
+    assert main_text(f"<head><style>p {{}}</style>{text}") == text
+    assert main_text(f"<head><script>let a = 1</script></head><p>{text}</p>") == text
+    for names in ("layout sidebar-right", "content-with-sidebar", "nav-fixed", "page-without-ads"):
+        for body in (f"<article><p>{text}</p></article>", f"<main><p>{text}</p></main>", f"<p>{text}</p>"):
+            assert main_text(f"<div class='{names}'>{body}</div><p>Short.</p>").startswith(text)
+            assert main_text(f"<div class='{names}'>{body}<div class='comments'><p>{other * 9}</p></div></div>") == text
+    assert main_text(f"<div class='ads-right'><article>{text}</article><div class=ad>{other}</div></div>") == text
+    # What is named rightly stays out.
+    assert main_text(f"<p>{text}</p><div class='sidebar'><p>{other}</p></div>") == text
+    assert main_text(f"<article>{text}</article><div class='related'><article>{other}</article></div>") == text
+    assert main_text(f"<p>{text}</p><div class='comments'><article class='comment'>{other * 9}</article></div>") == text
+    assert main_text(f"<div class='sidebar' hidden><article>{other}</article></div><p>{text}</p>") == text
+    assert main_text(f"<aside><article>{other}</article></aside><p>{text}</p>") == text
+    assert main_text("<div class=ad>" * 20_000 + text) == ""
+
+
 ITEMS = [("b", " ".join(f"w{i}" for i in range(14))), ("a", "tiny item"), ("c", None), ("d", ""), (None, "w1 w2"), ("e", "Tiny, ITEM!"), ("f", " ".join(["z"] * 12)), ("a", "w3 w4")]
 
 

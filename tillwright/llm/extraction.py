@@ -6,6 +6,10 @@ is mostly links; a block of some length with the density of function words that
 without are boilerplate, unless the page marks them as its article. Short blocks stay undecided. In the second pass an undecided
 block takes the label of the nearest decided block, before or after it. Between content and boilerplate at the same
 distance it is content only if the boilerplate is known by its markup, which tells nothing about what stands beside it.
+
+A class or id that names page furniture may be that of a wrapper around everything. It does not count for a <main> inside,
+for the only <article> of the page, for articles with more text than stands outside of furniture, and, if it is a word
+of layout, for an element that holds most of the page's text. Text in links is not counted there.
 """
 
 from __future__ import annotations
@@ -38,6 +42,8 @@ _BLOCK = frozenset(
 )
 _NEVER = frozenset("nav footer aside form menu button fieldset dialog".split())
 _ARTICLE = frozenset(("article", "main"))
+# What can stand in a head; its end tag may be left out, then anything else ends it.
+_IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # Words in class, id and role that name page furniture.
 _FURNITURE = frozenset(
@@ -46,8 +52,10 @@ _FURNITURE = frozenset(
     " popup promo promotion recommended related reply replies respond search share sharing sidebar signup skip social sponsor sponsored"
     " sponsors subscribe subscription tags teaser toolbar widget widgets alert contentinfo complementary".split()
 )
+# Those of them that also name wrappers by their layout.
+_LAYOUT = frozenset("banner header masthead menu menubar nav navbar navigation paywall search sidebar social tags toolbar widget widgets".split())
 # "has-sidebar" speaks of the layout, "entry-header" of the article's own heading.
-_ABOUT_LAYOUT = frozenset("has with no is".split())
+_ABOUT_LAYOUT = frozenset("has with no is without".split())
 _HEADING_LIKE = frozenset("header banner masthead tags".split())
 _BODY = frozenset("article post entry story content main body text".split())
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(?:!|\?)[^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
@@ -71,19 +79,81 @@ class Block:
     parts: list[str] = field(default_factory=list)
     linked: int = 0
     furniture: bool = False
+    wrapper: int = 0
+    region: int = 0
     article: bool = False
     heading: bool = False
     text: str = ""
 
 
-def _named_furniture(attributes: str) -> bool:
+@dataclass
+class Wrapper:
+    """An element named as furniture: the one it stands in, the region it was opened in, and whether its names are of layout."""
+
+    parent: int
+    region: int
+    layout: bool
+
+
+@dataclass
+class Region:
+    """An outermost article or main, and the innermost wrapper that it stands in."""
+
+    wrapper: int
+    main: bool
+    named: bool
+    furniture: bool
+
+
+def _furniture_names(attributes: str) -> set[str]:
+    names: set[str] = set()
     for _, value in _NAMES.findall(attributes):
         for name in value.lower().split():
             parts = _NAME_PARTS.findall(name)
-            found = _FURNITURE.intersection(parts)
+            found = {p for before, p in zip(["", *parts], parts, strict=False) if p in _FURNITURE and before not in _ABOUT_LAYOUT}
             if found and parts[0] not in _ABOUT_LAYOUT and not (found <= _HEADING_LIKE and _BODY.intersection(parts)):
-                return True
-    return False
+                names |= found
+    return names
+
+
+def _settle_names(blocks: list[Block], wrappers: list[Wrapper], regions: list[Region]) -> None:
+    """Mark as furniture what stands in an element whose class or id says so and is to be believed. Entries 0 stand for none."""
+    weight, held, free, total = [0] * len(wrappers), [0] * len(regions), 0, 0
+    for block in blocks:
+        if not block.furniture:
+            size = max(0, len(block.text) - block.linked)
+            total += size
+            held[block.region] += size
+            weight[block.wrapper] += size
+            free += 0 if block.wrapper else size
+    top, apart = [0] * len(wrappers), [False] * len(wrappers)
+    for i in range(len(wrappers) - 1, 0, -1):
+        weight[wrappers[i].parent] += weight[i]
+    for i in range(1, len(wrappers)):
+        parent = wrappers[i].parent
+        top[i] = top[parent] or i
+        apart[i] = apart[parent] or not wrappers[i].layout
+    own = [i for i in range(1, len(regions)) if not (regions[i].named or regions[i].furniture)]
+    longest = max((held[i] for i in own if not regions[i].wrapper or regions[i].main), default=0)
+    together = [0] * len(wrappers)
+    for i in own:
+        together[top[regions[i].wrapper]] += held[i]
+    freed = [False] * len(regions)
+    for i in own:
+        w = regions[i].wrapper
+        freed[i] = regions[i].main or (held[i] > longest and ((len(own) == 1 and not apart[w]) or together[top[w]] > free))
+    named = [False] * len(wrappers)
+
+    def inside(wrapper: int, region: int) -> bool:
+        """Whether names make furniture of what stands in a region and, in it or around it, a wrapper."""
+        if region and wrappers[wrapper].region != region:
+            return not freed[region] and named[wrapper]
+        return named[wrapper]
+
+    for i in range(1, len(wrappers)):
+        named[i] = not (wrappers[i].layout and 2 * weight[i] > total) or inside(wrappers[i].parent, wrappers[i].region)
+    for block in blocks:
+        block.furniture = block.furniture or inside(block.wrapper, block.region)
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -93,6 +163,9 @@ def blocks_of(page: str) -> list[Block]:
     # Open elements: name, whether it makes its content furniture, an article, silent, or a link.
     stack: list[tuple[str, bool, bool, bool, bool]] = []
     furniture = article = silent = link = heading = 0
+    wrappers, regions = [Wrapper(0, 0, True)], [Region(0, False, False, False)]
+    # Open wrappers with the depth of their elements, innermost last; and the open region.
+    open_wrappers, region = [(0, 0)], 0
 
     def close_block() -> None:
         nonlocal current
@@ -102,21 +175,27 @@ def blocks_of(page: str) -> list[Block]:
         current = Block()
 
     def put(raw: str) -> None:
+        if silent and stack[-1][0] == "head" and raw.strip():
+            pop()
         if silent or not raw:
             return
         if not current.parts:
             if not raw.strip():
                 return
             current.furniture, current.article, current.heading = furniture > 0, article > 0, heading > 0
+            current.wrapper, current.region = open_wrappers[-1][0], region
         current.parts.append(raw)
         if link:
             current.linked += len(raw.strip())
 
     def pop() -> str:
-        nonlocal furniture, article, silent, link, heading
+        nonlocal furniture, article, silent, link, heading, region
+        if open_wrappers[-1][1] == len(stack) > 0:
+            open_wrappers.pop()
         name, f, a, s, k = stack.pop()
         furniture, article, silent, link = furniture - f, article - a, silent - s, link - k
         heading -= name in ("h1", "h2", "h3", "h4", "h5", "h6")
+        region = region if article else 0
         return name
 
     at, n = 0, len(page)
@@ -130,6 +209,12 @@ def blocks_of(page: str) -> list[Block]:
         if tag[2] is None:
             continue
         name = tag[2].lower()
+        if silent and not tag[1]:
+            if name == "body" and any(entry[0] == "head" for entry in stack):
+                while pop() != "head":
+                    pass
+            elif stack[-1][0] == "head" and name not in _IN_HEAD:
+                pop()
         if name == "br":
             put(" ")
             continue
@@ -157,12 +242,23 @@ def blocks_of(page: str) -> list[Block]:
         inside = article > 0
         is_article = name in _ARTICLE
         never = name in _NEVER or (name == "header" and not inside)
-        named = name not in ("html", "body", *_ARTICLE) and bool(attributes) and (_named_furniture(attributes) or bool(_HIDDEN.search(attributes)))
-        entry = (name, never or named, is_article, name in _SILENT, name == "a")
+        hidden = named = False
+        if attributes and name not in ("html", "body"):
+            names = _furniture_names(attributes)
+            hidden, named = name not in _ARTICLE and bool(_HIDDEN.search(attributes)), bool(names)
+        entry = (name, never or hidden, is_article, name in _SILENT, name == "a")
         stack.append(entry)
+        if is_article and not inside:
+            regions.append(Region(open_wrappers[-1][0], name == "main", named, furniture > 0))
+            region = len(regions) - 1
+        if named and not is_article:
+            wrappers.append(Wrapper(open_wrappers[-1][0], region, names <= _LAYOUT))
+            open_wrappers.append((len(wrappers) - 1, len(stack)))
         furniture, article, silent, link = furniture + entry[1], article + entry[2], silent + entry[3], link + entry[4]
         heading += name in ("h1", "h2", "h3", "h4", "h5", "h6")
     close_block()
+    if len(wrappers) > 1:
+        _settle_names(out, wrappers, regions)
     return out
 
 
