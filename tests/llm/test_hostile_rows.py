@@ -170,6 +170,33 @@ def test_licenses(spark, odd, nothing):
     assert len(licenses.scan(odd).collect()) == len(ODD) + 2 and licenses.scan(nothing).count() == 0
 
 
+def test_licenses_of_several_paragraphs(spark):
+    by_name = {}
+    for name, body in licenses.TEMPLATES:
+        by_name.setdefault(name, body)
+    mit = by_name["MIT"].replace("conditions: The", "conditions:\n\nThe").replace("Software. THE", "Software.\n\nTHE")
+    apache = by_name["Apache-2.0"].replace("License. You", "License.\nYou").replace("2.0 Unless", "2.0\n\nUnless").replace(", software", ",\n  software")
+    gpl = by_name["GPL-3.0-or-later"].replace("version. This", "version.\n\nThis").replace("details. You", "details.\n\nYou")
+    more = "\n".join(f"Words number {i} of a long text stand here, and there are others of them. So it goes on in line {i}." for i in range(400))
+    texts = [
+        (1, f"{more}\n\n{mit}\n\n{more}"),
+        (2, f"{more}\n\n{apache}\n\n{more}"),
+        (3, f"Title\n\n{gpl}\n\n{more}"),
+        (4, f"{more}\nIt is here. Released under\nthe MIT License. There is more.\n{more}"),
+        (5, f"{more}\n\n{mit}\n\n{more}\n\n{apache}"),
+        (6, f"{more}\n\n" + mit.split("\n\n")[1]),
+        (7, more),
+        (8, "All rights reserved.\n" * 3000),
+    ]
+    found = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    names = [set(found[i]["licenses"].split(",")) for i in range(1, 9)]
+    assert names[0] == names[3] == {"MIT"} and "Apache-2.0" in names[1] and "GPL-3.0-or-later" in names[2] and names[4] == {"MIT", "Apache-2.0"}
+    assert names[5] == names[6] == {""} and names[7] == {"LicenseRef-All-Rights-Reserved"}
+    assert [found[i]["best_dice"] for i in (1, 2, 3, 4, 5, 8)] == [1.0] * 6
+    # The last: a line, and the text of such lines.
+    assert [found[i]["n_matches"] for i in (1, 4, 8)] == [1, 1, 2]
+
+
 CHAT = [
     (1, 0, "user", "Hello there.\nWhat is the plan?"),
     (1, 1, "assistant", "Plan A it is.\n\nWe meet at noon."),
