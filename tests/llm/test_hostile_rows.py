@@ -237,6 +237,30 @@ def test_quotes(spark, nothing, tmp_path):
     assert quotes.conversations(stored.filter("turn > 9999")).count() == 0
 
 
+def test_quoted_parts(spark, tmp_path):
+    long = "We could go by train. The bus is cheaper, but it takes longer. I would rather walk\nall the way to the sea\nand back again, if it is dry."
+    chat = [
+        (1, 0, "user", long),
+        (1, 1, "assistant", "Second paragraph here\nis wrapped.\n\nThird one follows."),
+        (1, 2, "user", "Ok."),
+        (1, 3, "assistant", "> The bus is cheaper, but it takes longer.\nTrue."),
+        (1, 4, "user", "> all the way to the\n> sea and back\nReally?"),
+        (1, 5, "user", "> Second paragraph\n> here is wrapped. Third one\n> follows.\nYes."),
+        (1, 6, "user", "> We could go by train. [...] I would rather walk all the way\nNo."),
+        (1, 7, "user", "It is ok with me."),
+        (1, 8, "user", "> Ok.\nGood."),
+        (1, 9, "user", "> The bus is cheaper, but it takes shorter\nNever."),
+        (2, 0, "user", "Another conversation"),
+        (2, 1, "user", "Yes"),
+        (2, 2, "user", "> The bus is cheaper, but it takes longer.\nWhat?"),
+    ]
+    spark.createDataFrame(chat, "conv_id long, turn int, role string, text string").write.parquet(str(tmp_path / "conversations.parquet"))
+    stored = spark.read.parquet(str(tmp_path / "conversations.parquet"))
+    reply = {(r["conv_id"], r["turn"]): (r["reply_to"], r["by_quote"]) for r in quotes.conversations(stored).collect()}
+    assert [reply[1, i] for i in range(3, 10)] == [(0, True), (0, True), (1, True), (0, True), (6, False), (2, True), (8, False)]
+    assert reply[2, 2] == (1, False)
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(0)
     rows = [(i, [float(v) for v in rng.standard_normal(6)], i) for i in range(300)]

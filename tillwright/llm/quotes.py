@@ -2,8 +2,9 @@
 
 A line that begins with one or more ``>`` is quoted, its level their number. Quoted text is taken out of a message, with
 the line that names whom it quotes. Runs of lines of one level are quoted passages; normalised (lower case, words with one
-blank between them) and hashed, they and their single lines are joined to the same forms of the unquoted text of earlier
-messages of the conversation. The message that most quoted text comes from is the one replied to; a message without such
+blank between them) and hashed, they, their single lines and the sentences of those that are not found are joined to the
+unquoted text of earlier messages of the conversation: to its paragraphs, lines and sentences or, where none of them is
+the same, to any run of words. These are found by their first words and compared in full. The message that most quoted text comes from is the one replied to; a message without such
 a link replies to the turn before it. Messages are numbered in an order in which every reply follows its original.
 
 All of it is built-in expressions. Running values along a conversation are made in two steps, inside stretches of turns
@@ -16,10 +17,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from tillwright.session import materialise
+
 # Turns of a conversation that are looked at in one window.
 STRETCH = 1024
 # Marks of quotation, and lines that introduce one, in the languages of the tables.
 _MARKS = r"^(?:[ \t]*>)+"
+_SENTENCES = r"(?<=[.!?])\s+"
+# First words that a passage is looked up by; shorter ones by the next smaller number.
+_FIRST_WORDS = (8, 4, 2, 1)
 _INTRODUCES = r"(?i)^\s*(?:on|am|le|el)\s.*(?:wrote|schrieb.*|a écrit|escribió)\s*:\s*$"
 
 
@@ -74,16 +80,37 @@ def quoted_passages(messages: DataFrame) -> DataFrame:
     run = F.col("at") - F.row_number().over(W.partitionBy("row", "level").orderBy("at"))
     ordered = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "body"))), lambda x: x["body"]), " ")
     runs = lines.withColumn("run", run).groupBy("row", "conv_id", "turn", "level", "run").agg(ordered.alias("passage"))
-    both = runs.select("row", "conv_id", "turn", "passage").unionByName(lines.select("row", "conv_id", "turn", F.col("body").alias("passage")))
-    return _hashed(both, "row", "conv_id", "turn")
+    found = runs.select("row", "conv_id", "turn", "passage", F.lit(None).cast("long").alias("of"))
+    found = found.unionByName(lines.select("row", "conv_id", "turn", F.col("body").alias("passage"), F.lit(None).cast("long").alias("of")))
+    parts = runs.filter(F.col("passage").rlike(_SENTENCES)).select(
+        "row", "conv_id", "turn", F.explode(F.split("passage", _SENTENCES)).alias("passage"), F.xxhash64(normalised(F.col("passage"))).alias("of")
+    )
+    return _hashed(found.unionByName(parts), "row", "conv_id", "turn", "of")
 
 
 def own_passages(messages: DataFrame) -> DataFrame:
-    """The unquoted text of every message, its paragraphs and its lines."""
-    each = F.array_distinct(F.concat(F.array("text"), F.split("text", r"\n\s*\n"), F.split("text", "\n")))
+    """The unquoted text of every message, its paragraphs, its lines and their sentences."""
+    lines = F.split("text", "\n")
+    sentences = F.flatten(F.transform(lines, lambda line: F.split(line, _SENTENCES)))
+    each = F.array_distinct(F.concat(F.array("text"), F.split("text", r"\n\s*\n"), lines, sentences))
     return _hashed(messages.select("conv_id", "turn", F.explode(each).alias("passage")), "conv_id", "turn")
 
 
+def contained_passages(messages: DataFrame, quoted: DataFrame) -> DataFrame:
+    """Runs of words of the unquoted text of every message that a quoted passage of its conversation consists of."""
+    n = F.size(F.split("passage", " "))
+    size = F.coalesce(*[F.when(n >= k, k) for k in _FIRST_WORDS])
+    wanted = quoted.select("conv_id", size.alias("size"), F.xxhash64(F.array_join(F.slice(F.split("passage", " "), 1, size), " ")).alias("first"), n.alias("n")).distinct()
+    worded = messages.select("row", "conv_id", "turn", F.split(normalised(F.col("text")), " ").alias("words"))
+    places = worded.select("row", "conv_id", "words", F.explode(F.array(*map(F.lit, _FIRST_WORDS))).alias("size")).filter(F.size("words") >= F.col("size"))
+    firsts = F.transform(F.sequence(F.lit(1), F.size("words") - F.col("size") + 1), lambda i: F.xxhash64(F.array_join(F.slice("words", i, F.col("size")), " ")))
+    met = places.select("row", "conv_id", "size", F.posexplode(firsts).alias("at", "first")).join(wanted, ["conv_id", "size", "first"])
+    spans = met.groupBy("row").agg(F.collect_set(F.struct("at", "n")).alias("spans"))
+    fitting = F.filter("spans", lambda x: x["at"] + x["n"] <= F.size("words"))
+    passages = F.array_distinct(F.transform(fitting, lambda x: F.array_join(F.slice("words", x["at"] + 1, x["n"]), " ")))
+    return _hashed(worded.join(spans, "row").select("conv_id", "turn", F.explode(passages).alias("passage")), "conv_id", "turn")
+
+
 def latest_before(points: DataFrame, keys: list[str], counts: Column, name: str) -> DataFrame:
     """``points`` with the latest earlier ``turn`` of a row of the same keys for which ``counts`` holds."""
     marked = points.withColumn("_stretch", F.floor(F.col("turn") / STRETCH)).withColumn("_turn", F.when(counts, F.col("turn")))
@@ -99,14 +126,22 @@ def links(messages: DataFrame) -> DataFrame:
     """``row`` of each message that quotes an earlier one of its conversation, and the turn it ``quotes``.
 
     Of several originals the one that most characters come from counts, then the latest. A passage that stands in several
-    earlier messages is taken from the latest of them.
+    earlier messages is taken from the latest of them, those first in which it is a text, paragraph, line or sentence.
+    Sentences of a run count where the run as a whole is not found.
     """
-    quoted = quoted_passages(messages).filter("conv_id IS NOT NULL AND turn IS NOT NULL")
+    quoted = materialise(quoted_passages(messages).filter("conv_id IS NOT NULL AND turn IS NOT NULL"), "quoted")
     quoting = quoted.select("conv_id").distinct()
-    originals = own_passages(messages.join(quoting, "conv_id", "left_semi")).filter("turn IS NOT NULL")
-    points = quoted.withColumn("own", F.lit(False)).unionByName(originals.withColumn("own", F.lit(True)), allowMissingColumns=True)
-    met = latest_before(points, ["conv_id", "hash", "passage"], F.col("own"), "quotes").filter("NOT own AND quotes IS NOT NULL")
-    per_original = met.groupBy("row", "quotes").agg(F.sum(F.length("passage")).alias("chars"))
+    others = messages.filter("turn IS NOT NULL").join(quoting, "conv_id", "left_semi")
+    whole = own_passages(others).withColumn("own", F.lit(2))
+    points = quoted.withColumn("own", F.lit(0)).unionByName(whole, allowMissingColumns=True)
+    points = points.unionByName(contained_passages(others, quoted).withColumn("own", F.lit(1)), allowMissingColumns=True)
+    keys = ["conv_id", "hash", "passage"]
+    met = latest_before(latest_before(points, keys, F.col("own") == 2, "as_whole"), keys, F.col("own") == 1, "inside")
+    met = met.withColumn("quotes", F.coalesce("as_whole", "inside")).filter("own = 0 AND quotes IS NOT NULL").select("row", "of", "hash", "passage", "quotes")
+    met = materialise(met, "met")
+    found = met.filter("of IS NULL").select("row", F.col("hash").alias("of")).distinct()
+    counted = met.filter("of IS NULL").unionByName(met.filter("of IS NOT NULL").join(found, ["row", "of"], "left_anti"))
+    per_original = counted.select("row", "quotes", "passage").distinct().groupBy("row", "quotes").agg(F.sum(F.length("passage")).alias("chars"))
     return per_original.groupBy("row").agg(F.max(F.struct("chars", "quotes"))["quotes"].alias("quotes"))
 
 
