@@ -62,8 +62,8 @@ def shared_folder(spark: SparkSession) -> str:
 _STORED: WeakKeyDictionary[SparkSession, list[str]] = WeakKeyDictionary()
 
 
-def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
-    """Write ``df`` once as a table in the shared folder and read it back.
+def materialise(df: DataFrame, label: str = "stage", **options: str) -> DataFrame:
+    """Write ``df`` once as a table in the shared folder and read it back; ``options`` go to the Parquet writer.
 
     Used where a result feeds several branches, or where it must not be computed twice because it depends on
     sampled range bounds. Unlike a cached frame it survives the loss of executors, and unlike a checkpoint it keeps
@@ -73,7 +73,7 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/tillwright-{label}-{uuid.uuid4().hex}"
     _STORED.setdefault(spark, []).append(path)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
