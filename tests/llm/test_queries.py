@@ -31,7 +31,7 @@ def test_all_queries_are_registered():
     import __spark_entry__ as driver
 
     names = driver.queries()
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)) and "pipeline" in names
 
 
 def test_mix_comes_near_its_targets(spark, documents):

@@ -9,7 +9,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillwright.llm import decontamination, extraction, licenses, mixing, near_dedup, neighbours, quality, quotes, token_counts, token_files
+from tillwright.llm import (
+    decontamination,
+    extraction,
+    lexical_search,
+    licenses,
+    mixing,
+    near_dedup,
+    neighbours,
+    packing,
+    prefix_trie,
+    quality,
+    quotes,
+    token_counts,
+    token_files,
+)
 from tillwright.session import shared_folder
 
 
@@ -82,6 +96,21 @@ def html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return packed.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(*prefix_trie.rebuilt(table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_source_mixing": source_mixing,
     "op2_token_counts": token_count,
@@ -93,6 +122,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extraction": html_extraction,
     "op9_benchmark_decontamination": benchmark_decontamination,
     "op10_minhash_near_dedup": minhash_near_dedup,
+    "op11_sequence_packing": sequence_packing,
+    "op12_ranked_search": ranked_search,
+    "op13_conversation_trie": conversation_trie,
 }
 # Windows by position: every run of ten words (or all words of a shorter item) is one row, and rows meet by their text.
 _DECONTAMINATION_SQL = """
@@ -244,9 +276,74 @@ SELECT conv_id, turn, coalesce(role, 'unknown') AS role, text, n_quoted,
 FROM told LEFT JOIN links USING (r)
 """
 
+_TERMS = """list_filter(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"""
+_SEARCH_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS w FROM documents WHERE text IS NOT NULL
+), size AS (
+  SELECT count(*) AS big_n, sum(len(w))::BIGINT AS l FROM d WHERE len(w) > 0
+), tf AS (
+  SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) GROUP BY r, t
+), weights AS (
+  SELECT t, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, size GROUP BY t, big_n
+), q AS (
+  SELECT i, item_id, t, count(*) AS k
+  FROM (SELECT i, item_id, unnest({_TERMS}) AS t FROM (SELECT row_number() OVER () AS i, * FROM benchmark WHERE text IS NOT NULL))
+  GROUP BY i, item_id, t
+), scored AS (
+  SELECT i, item_id, d.r, doc_id, sum(k * w.w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * len(d.w) * big_n) // l))))::BIGINT AS score
+  FROM q JOIN tf USING (t) JOIN weights w USING (t) JOIN d ON d.r = tf.r, size GROUP BY i, item_id, d.r, doc_id
+), ranked AS (
+  SELECT item_id, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank, doc_id, score FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+# A step of -1 in the list is one of the eight shifts of crc32 (reflected polynomial), any other element a byte.
+_CRC32 = """xor(list_reduce(flatten([[4294967295::BIGINT], flatten(list_transform(string_split({c}::VARCHAR, ''),
+  lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))]), lambda a, b: CASE WHEN b >= 0 THEN xor(a, b)
+  WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END), 4294967295)"""
+# Every node meets all nodes that its members pass at and below it.
+_TRIE_SQL = f"""
+WITH own AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS p, role, text
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)
+), convs AS (
+  SELECT conv_id, {_CRC32.format(c="conv_id")} % 4 AS h, conv_id - conv_id % 20 AS base FROM own GROUP BY conv_id
+), parts AS (
+  SELECT c.conv_id, 0 AS part, o.p, o.role, o.text FROM convs c JOIN own o ON o.conv_id = c.base AND o.p <= c.h
+  UNION ALL SELECT c.conv_id, 1, o.p, o.role, o.text FROM convs c JOIN own o ON o.conv_id = c.conv_id AND o.p > c.h
+), turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY part, p) AS depth, role, text FROM parts
+), paths AS (
+  SELECT conv_id, depth, text, string_agg(sha256(len(role) || ':' || role || text), '') OVER (PARTITION BY conv_id ORDER BY depth) AS path FROM turns
+  UNION ALL SELECT conv_id, 0, '', '' FROM convs
+), nodes AS (
+  SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(len(list_filter(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), lambda x: x <> ''))) AS words
+  FROM paths GROUP BY depth, path
+), linked AS (
+  SELECT n.*, p.conv_id AS parent_conv_id FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.path = left(n.path, len(n.path) - 64)
+), counted AS (
+  SELECT l.*, (SELECT count(*) FROM linked c WHERE c.depth = l.depth + 1 AND c.parent_conv_id = l.conv_id) AS n_children FROM linked l
+), below AS (
+  SELECT DISTINCT a.depth, a.path, b.depth AS d, b.path AS q FROM paths a JOIN paths b ON a.conv_id = b.conv_id AND b.depth >= a.depth
+), sums AS (
+  SELECT b.depth, b.path, sum((n_children = 0)::INT)::BIGINT AS n_leaves, sum((n_convs - 1) * words)::BIGINT AS saved_tokens
+  FROM below b JOIN counted c ON c.depth = b.d AND c.path = b.q GROUP BY b.depth, b.path
+), ends AS (
+  SELECT depth, path, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids
+  FROM paths WHERE (conv_id, depth) IN (SELECT (conv_id, max(depth)) FROM paths GROUP BY conv_id) GROUP BY depth, path
+)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, sha256(coalesce(ids, '')) AS ends_sha256
+FROM counted JOIN sums USING (depth, path) LEFT JOIN ends USING (depth, path)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op4_license_scan": _LICENSES_SQL,
     "op5_quotation_links": _QUOTES_SQL,
     "op9_benchmark_decontamination": _DECONTAMINATION_SQL,
     "op10_minhash_near_dedup": _NEAR_DEDUP_SQL,
+    "op12_ranked_search": _SEARCH_SQL,
+    "op13_conversation_trie": _TRIE_SQL,
 }
