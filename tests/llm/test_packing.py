@@ -116,3 +116,12 @@ def test_equal_lengths_are_cut_and_filled():
     made = [s for i in range(100) for s in packer.add(i, bytes(4 * (16 + 16 * (i % 3))))] + list(packer.end())
     # 16, 32 and 48 fill sequences as they are: nothing is cut but what is left at the end.
     assert sum(len(s) for s in made) <= 104
+
+
+def test_chunks_of_texts_are_encoded_alike(tokenizer, monkeypatch):
+    texts = ["  a <|endoftext|> b ", "", " ", "x" * 50, "naïve Σ́ ½ 漢字   \x85 \x1c 😀", "Don't WE'LL " * 30, *(f"w{i} It's {i}.5%" for i in range(50))]
+    raw = [t.encode() for t in texts]
+    expected = [ids_of(tokenizer, t).tobytes() for t in texts]
+    for size in (1 << 20, 100, 1):
+        monkeypatch.setattr(packing, "CHUNK_BYTES", size)
+        assert list(packing.ChunkEncoder(WORDS, 2)(raw)) == expected

@@ -14,26 +14,109 @@ the document it reads.
 
 from __future__ import annotations
 
+import re
+import sys
+import types
 from bisect import bisect_right, insort
 from collections.abc import Iterable, Iterator
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from tillwright.llm.token_files import Encoder
+from tillwright.llm.token_files import CACHED_WORDS, Encoder
 from tillwright.session import materialise
 
 SEQUENCE_IDS = 4096
 # Ids that wait in a task until sequences are made of them.
 BUFFER_IDS = 4_000_000
 _BATCH_BYTES = 4 << 20
+_BLANK = re.compile(rb"[ \t\n\r\x0b\x0c]")
 _SCHEMA = "part int, sequence long, offset long, doc_id long, start long, length long, doc_tokens long, ids binary"
 
 
+# Bytes of text that are encoded together.
+CHUNK_BYTES = 8 << 20
+
+
+class ChunkEncoder:
+    """Token ids of many texts at a time: each different word of a chunk is looked up once, and the ids of all words are
+    gathered by the places of theirs."""
+
+    def __init__(self, tokenizer: str, end_id: int | None) -> None:
+        self.single = Encoder(tokenizer, None)
+        self.end = np.array([] if end_id is None else [end_id], dtype="<u4").tobytes()
+
+    def __call__(self, texts: Iterable[bytes]) -> Iterator[bytes]:
+        held: list[bytes] = []
+        size = 0
+        for text in texts:
+            if held and size + len(text) > CHUNK_BYTES:
+                yield from self._chunk(held)
+                held, size = [], 0
+            if len(text) > CHUNK_BYTES:
+                yield b"".join(ids for part in self._parts(text) for ids in self._encoded([part])) + self.end
+                continue
+            held.append(text)
+            size += len(text)
+        yield from self._chunk(held)
+
+    def _parts(self, text: bytes) -> Iterator[bytes]:
+        """Parts of a long text, cut at blanks; a text with a special string stays whole."""
+        if any(s in text.lower() for s in self.single.special_lower):
+            yield text
+            return
+        at = 0
+        while at < len(text):
+            blank = _BLANK.search(text, at + CHUNK_BYTES)
+            end = blank.start() if blank else len(text)
+            yield text[at:end]
+            at = end
+
+    def _chunk(self, texts: list[bytes]) -> Iterator[bytes]:
+        for ids in self._encoded(texts) if texts else ():
+            yield ids + self.end
+
+    def _encoded(self, texts: list[bytes]) -> list[bytes]:
+        single, whole = self.single, {}
+        known = single.known
+        if len(known) > CACHED_WORDS:
+            known.clear()
+            single.pieces.clear()
+        plain = pa.array(texts, pa.large_binary()).view(pa.large_string())
+        if single.lowers:
+            low = pc.ascii_lower(plain)
+            for special in single.special_lower:
+                for i in np.flatnonzero(pc.match_substring(low, special.decode()).to_numpy(zero_copy_only=False)):
+                    whole[int(i)] = next(single([texts[i]]))
+            plain = low
+        words = pc.ascii_split_whitespace(plain)
+        codes = words.values.dictionary_encode()
+        found = [known[w] if w else b"" for w in codes.dictionary.view(pa.large_binary()).to_pylist()]
+        ids = np.frombuffer(b"".join(found), dtype="<u4")
+        lengths = np.array([len(f) // 4 for f in found], dtype=np.int64)
+        begins = np.cumsum(lengths) - lengths
+        places = codes.indices.to_numpy()
+        counts = lengths[places]
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        gathered = ids[np.arange(ends[-1]) + np.repeat(begins[places] - ends[:-1], counts)]
+        bounds = ends[words.offsets.to_numpy() - words.offsets[0].as_py()]
+        return [whole[i] if i in whole else gathered[bounds[i] : bounds[i + 1]].tobytes() for i in range(len(texts))]
+
+
+def worker_encoder(tokenizer: str, end_id: int | None) -> ChunkEncoder:
+    """The encoder of this Python worker, which keeps the words it knows for the worker's later tasks."""
+    kept = sys.modules.setdefault("_tillwright_worker", types.ModuleType("_tillwright_worker")).__dict__
+    if kept.get("encoder_of") != (tokenizer, end_id):
+        kept["encoder"], kept["encoder_of"] = ChunkEncoder(tokenizer, end_id), (tokenizer, end_id)
+    return kept["encoder"]
+
+
 class Piece(NamedTuple):
     doc_id: int | None
     doc_tokens: int
@@ -167,7 +250,7 @@ def pack(
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, packer, part = Encoder(tokenizer, end_id), Packer(size, buffer_ids), TaskContext.get().partitionId()
+        encoder, packer, part = worker_encoder(tokenizer, end_id), Packer(size, buffer_ids), TaskContext.get().partitionId()
 
         def made() -> Iterator[list[Piece]]:
             for batch in batches:
