@@ -166,20 +166,29 @@ EXT_COLUMNS = MASTER_COLUMNS + (
 )
 
 
-def master_sales_ext(master: DataFrame, tiers_per_year: bool = False, repeat_by_day: bool = False) -> DataFrame:
-    """The 26-column line table. ``master`` is read several times: pass a stored table.
+TIER_COLUMNS = ("city_tier", "city_sales_total", "category_tier", "category_sales_total")
+
+
+def with_tiers(lines: DataFrame, cities: DataFrame, categories: DataFrame, per_year: bool = False) -> DataFrame:
+    """Tier and total of each line's city and category.
 
-    The tier look-ups carry no broadcast hint: small tier tables are broadcast by their measured size, large ones are
-    joined by sort and merge.
+    The look-ups carry no broadcast hint: small tier tables are broadcast by their measured size, large ones are joined
+    by sort and merge.
     """
+    lines = _lookup_tier(lines, cities, "cust_city", "city_sales", "city_tier", CITY_TIERS, per_year)
+    return _lookup_tier(lines, categories, "category_name", "category_sales", "category_tier", CATEGORY_TIERS, per_year)
+
+
+def with_line_columns(master: DataFrame, repeat_by_day: bool = False) -> DataFrame:
+    """The line table but for the tiers, which hang on the sales of all lines."""
     lines = with_price_bucket(with_time_breakdowns(with_customer_history(master, repeat_by_day)))
-    cities = city_tiers(master, tiers_per_year)
-    categories = category_tiers(master, tiers_per_year)
-    lines = _lookup_tier(lines, cities, "cust_city", "city_sales", "city_tier", CITY_TIERS, tiers_per_year)
-    lines = _lookup_tier(
-        lines, categories, "category_name", "category_sales", "category_tier", CATEGORY_TIERS, tiers_per_year
-    )
-    return lines.select(*EXT_COLUMNS)
+    return lines.select(*[c for c in EXT_COLUMNS if c not in TIER_COLUMNS])
+
+
+def master_sales_ext(master: DataFrame, tiers_per_year: bool = False, repeat_by_day: bool = False) -> DataFrame:
+    """The 26-column line table. ``master`` is read several times: pass a stored table."""
+    cities, categories = city_tiers(master, tiers_per_year), category_tiers(master, tiers_per_year)
+    return with_tiers(with_line_columns(master, repeat_by_day), cities, categories, tiers_per_year).select(*EXT_COLUMNS)
 
 
 # ---- checks and samples -------------------------------------------------------------------------------------

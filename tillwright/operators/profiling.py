@@ -11,6 +11,7 @@ from pyspark.sql.window import Window as W
 
 from tillwright.functions import columns as C
 from tillwright.operators.combine import one_row
+from tillwright.operators.states import BINS, checked_quantiles, merged_quantiles, quantile_summary
 from tillwright.operators.scale import exact_quantiles
 from tillwright.session import materialise
 from tillwright.sources.retail import RawTables
@@ -185,6 +186,24 @@ def price_profile(products: DataFrame, approx: bool = False, accuracy: int = 10_
     )
 
 
+def quantile_check(df: DataFrame, value: Column, by: Column, wanted: dict[str, float], bins: int = BINS) -> DataFrame:
+    """Quantiles merged from summaries of each group of ``by``, with the ranks that they really have and the error."""
+    quantiles = merged_quantiles(materialise(quantile_summary(df, value, by, bins), "quantiles"), wanted)
+    return checked_quantiles(df, value, quantiles, bins)
+
+
+def quantity_quantiles(orders: DataFrame) -> DataFrame:
+    """Quartiles of the castable quantities, from summaries by month (lines without a date are a group of their own)."""
+    month = F.coalesce(C.year_month(C.safe_date("Date")), F.lit(""))
+    return quantile_check(orders, C.safe_int("Quantity"), month, {"q1_qty": 0.25, "median_qty": 0.5, "q3_qty": 0.75})
+
+
+def price_quantiles(products: DataFrame, bins: int = 100 * BINS) -> DataFrame:
+    """Quartiles of the castable prices, from summaries by category."""
+    wanted = {"p25_price": 0.25, "median_price": 0.5, "p75_price": 0.75}
+    return quantile_check(products, C.safe_decimal("Price"), F.coalesce("Category", F.lit("")), wanted, bins)
+
+
 def id_gaps(df: DataFrame, key: str, limit: int | None = None) -> DataFrame:
     """Numbers between the smallest and largest key that no row has; with ``limit`` the lowest ones only.
 

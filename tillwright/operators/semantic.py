@@ -273,12 +273,22 @@ def filter_price_bucket(df: DataFrame, p_price_bucket: str = ALL) -> DataFrame:
     return df if p_price_bucket == ALL else df.filter(F.col("price_bucket") == p_price_bucket)
 
 
+def filter_dates(df: DataFrame, start: Column, end: Column | None = None) -> DataFrame:
+    """Lines from ``start`` on and, if given, before ``end``, both first days of a month. The range is put on the date and,
+    where there is one, on the month column: if the lines are stored by it, files of other months are not opened."""
+    tests = [(F.col("order_date"), start, end)]
+    if "order_ym" in df.columns:
+        tests.append((F.col("order_ym"), C.year_month(start), None if end is None else C.year_month(end)))
+    for value, low, high in tests:
+        df = df.filter(value >= low) if high is None else df.filter((value >= low) & (value < high))
+    return df
+
+
 def filter_year(df: DataFrame, p_year: int | None = None) -> DataFrame:
-    """Lines of one year, by default the latest; written as a date range so that it reaches the scan."""
+    """Lines of one year, by default the latest; written as a range of dates and months so that it reaches the scan."""
     if p_year is not None:
-        return df.filter((F.col("order_date") >= f"{p_year:04d}-01-01") & (F.col("order_date") < f"{p_year + 1:04d}-01-01"))
-    start = df.agg(F.trunc(F.max("order_date"), "year")).scalar()
-    return df.filter(F.col("order_date") >= start)
+        return filter_dates(df, F.lit(f"{p_year:04d}-01-01").cast("date"), F.lit(f"{p_year + 1:04d}-01-01").cast("date"))
+    return filter_dates(df, df.agg(F.trunc(F.max("order_date"), "year")).scalar())
 
 
 def parameter_domain(ext: DataFrame, parameter: str) -> DataFrame:

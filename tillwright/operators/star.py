@@ -31,6 +31,8 @@ BASE_COLUMNS = (
     "product_price",
 )
 
+FACT_COLUMNS = ("date_key", "customer_sk", "product_sk", "order_qty", "total_sales", "product_price")
+
 
 def sales_lines(master: DataFrame) -> DataFrame:
     """Master lines with surrogate keys and calendar columns, in the shape of ``v_base_sales``.
@@ -111,15 +113,17 @@ def fact_sales(lines: DataFrame, dates: DataFrame, customers: DataFrame, product
 
     The dimensions are unique on their keys and no column of theirs is taken, hence semi joins.
     """
-    columns = ["date_key", "customer_sk", "product_sk", "order_qty", "total_sales", "product_price"]
-    fact = lines.select(*columns)
+    fact = lines.select(*FACT_COLUMNS)
     for key, dimension in (("date_key", dates), ("customer_sk", customers), ("product_sk", products)):
         fact = join_lines(fact, dimension.select(key), key, "left_semi")
-    return fact.select(*columns)
+    return fact.select(*FACT_COLUMNS)
 
 
-def v_base_sales(fact: DataFrame, dates: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
-    """Canonical star join; which sides are broadcast is left to their measured sizes."""
+def v_base_sales(
+    fact: DataFrame, dates: DataFrame, customers: DataFrame, products: DataFrame, month: str | None = None
+) -> DataFrame:
+    """Canonical star join; which sides are broadcast is left to their measured sizes. ``month`` names a column of the
+    fact that holds the month already, as one it is stored by does."""
     calendar = dates.select(
         "date_key",
         F.col("date").alias("order_date"),
@@ -130,6 +134,9 @@ def v_base_sales(fact: DataFrame, dates: DataFrame, customers: DataFrame, produc
         "day_of_week_num",
         "day_of_week_name",
     )
+    if month:
+        calendar = calendar.drop("order_ym")
+    fact = fact.withColumnRenamed(month, "order_ym") if month else fact.select(*FACT_COLUMNS)
     joined = join_lines(join_lines(fact, calendar, "date_key"), customers, "customer_sk")
     return join_lines(joined, products, "product_sk").select(*BASE_COLUMNS)
 

@@ -22,7 +22,7 @@ def _key(x: str) -> str:
     return f"('0x' || substr(md5({x}), 1, 15))::BIGINT"
 
 
-def _date(x: str) -> str:
+def date_of(x: str) -> str:
     x = f"trim({x})"
     return (
         f"coalesce(CASE WHEN regexp_full_match({x}, '\\d{{4}}-\\d{{1,2}}-\\d{{1,2}}') THEN try_strptime({x}, '%Y-%m-%d')::DATE END, "
@@ -106,7 +106,7 @@ _PARTS = {
     ),
     "stg_orders": f"""
         SELECT *, strftime(OrderDate, '%Y-%m') AS order_ym FROM (
-            SELECT {_int("OrderID")} AS OrderID, {_date('"Date"')} AS OrderDate, {_int("CustomerID")} AS CustomerID,
+            SELECT {_int("OrderID")} AS OrderID, {date_of('"Date"')} AS OrderDate, {_int("CustomerID")} AS CustomerID,
                    trim(ProdNumber) AS ProdNumber, {_int("Quantity")} AS Quantity FROM raw_orders) t
         WHERE OrderID IS NOT NULL AND OrderDate IS NOT NULL AND Quantity > 0
           AND CustomerID IN (SELECT CustomerID FROM stg_customers) AND ProdNumber IN (SELECT ProdNumber FROM stg_products)""",
