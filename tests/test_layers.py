@@ -212,3 +212,21 @@ def test_csv_sources_and_sinks(spark, tmp_path, rows):
     assert rows(files.read_table(spark, "stored_goods"), "ProdNumber", "Price") == [("B1", "9.99")]
     files.register_views({"goods": goods})
     assert files.read_table(spark, "goods").count() == 1
+
+
+def test_csv_rows_that_do_not_fit_are_kept_apart(spark, tmp_path, rows):
+    source = tmp_path / "in"
+    source.mkdir()
+    (source / "good.csv").write_text('ProdNumber,ProdName,Category,Price\nB1,"Drone, small",1,9.99\nB2,short,1\nB3,long,1,2,3\n\nB4,,2,\nProdNumber,ProdName,Category,Price\nB5,"a ""b""",1,1\n')
+    (source / "other.csv").write_text("ProdNumber,Price,Category,ProdName\nC1,9.99,1,Kite\n")
+    load = files.load_csv(spark, str(source), files.RAW_PRODUCT, str(tmp_path / "load"))
+    assert rows(load.clean) == [("B1", "Drone, small", "1", "9.99"), ("B4", None, "2", None), ("B5", 'a "b"', "1", "1")]
+    assert rows(load.clean, "Price") == [(None,), ("1",), ("9.99",)]
+    assert rows(load.quarantine, "reason", "record") == [
+        ("header", "C1,9.99,1,Kite"),
+        ("header", "ProdNumber,Price,Category,ProdName"),
+        ("too few columns", "B2,short,1"),
+        ("too many columns", "B3,long,1,2,3"),
+    ]
+    assert rows(load.report, "n_rows", "clean_rows", "bad_rows", "too_few_columns") == [(2, 0, 2, 0), (5, 3, 2, 1)]
+    assert rows(files.load_csv(spark, str(source / "good.csv"), files.RAW_PRODUCT, str(tmp_path / "again")).clean, "ProdNumber") == [("B1",), ("B4",), ("B5",)]

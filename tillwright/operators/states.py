@@ -124,7 +124,7 @@ def active_months(lines: DataFrame) -> DataFrame:
     """``customer_sk``, ``span`` (which 60 months) and ``bits`` of the months in which the customer has a line."""
     n = _month_number(F.col("order_ym"))
     return lines.groupBy("customer_sk", F.floor(n / _SPAN).cast("int").alias("span")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (n % _SPAN).cast("int"))).alias("bits")
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(n, F.lit(_SPAN)).cast("int"))).alias("bits")
     )
 
 
@@ -159,7 +159,7 @@ def _months_of(state: DataFrame) -> DataFrame:
 
 
 def _ym(n: Column) -> Column:
-    return F.concat(F.lpad((F.floor(n / 12) + _EPOCH).cast("string"), 4, "0"), F.lit("-"), F.lpad((n % 12 + 1).cast("string"), 2, "0"))
+    return F.concat(F.lpad((F.floor(n / 12) + _EPOCH).cast("string"), 4, "0"), F.lit("-"), F.lpad((F.pmod(n, F.lit(12)) + 1).cast("string"), 2, "0"))
 
 
 def cohorts(state: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ from tillwright.plans.layers import Layers, StoredLayers, TableLayers, build
 from tillwright.plans.oracle import date_of, sql
 from tillwright.plans.views import register_views
 from tillwright.session import shared_folder, tune
-from tillwright.sources import sequences
+from tillwright.sources import files, sequences
 from tillwright.sources.retail import RawTables
 
 
@@ -933,6 +933,49 @@ _add(
     "SELECT order_ym, sales::DOUBLE AS sales, qty::BIGINT AS qty, active_customers FROM monthly WHERE sales > 0",
 )
 
+# ---- loads of files -------------------------------------------------------------------------------------------
+
+
+def _loaded(L: StoredLayers) -> files.CsvLoad:
+    """The raw products as lines of text, some without their last column, some with one more, in two folders of files; the
+    files of the second have another header."""
+    spark, products = L.raw.spark, L.raw.products
+    folder = f"{shared_folder(spark).rstrip('/')}/tillwright-load-{uuid.uuid4().hex}"
+    names = files.RAW_PRODUCT.names
+    texts = F.concat_ws(",", *[F.concat(F.lit('"'), F.col(n), F.lit('"')) for n in names])
+    number = F.regexp_extract("ProdNumber", r"\d+", 0).cast("long")
+    line = (
+        F.when(number % 29 == 3, F.concat_ws(",", F.trim("ProdNumber"), "ProdName", "Category"))
+        .when(number % 31 == 4, F.concat(texts, F.lit(",more")))
+        .otherwise(texts)
+    )
+    for part, rest, header in (("a", number % 17 != 5, names), ("b", number % 17 == 5, [*names[:-1], "Cost"])):
+        lines = products.filter(rest).select(F.explode(F.array(F.lit(",".join(header)), line)).alias("value"))
+        lines.write.text(f"{folder}/{part}")
+    return files.load_csv(spark, [f"{folder}/a", f"{folder}/b"], files.RAW_PRODUCT, f"{folder}/loaded")
+
+
+_NUMBER = "regexp_extract(ProdNumber, '[0-9]+')::BIGINT"
+_add("csv_clean_rows", lambda L: _loaded(L).clean, f"SELECT * FROM raw_products WHERE {_NUMBER} % 17 <> 5 AND {_NUMBER} % 29 <> 3 AND {_NUMBER} % 31 <> 4")
+_add(
+    "csv_quarantine",
+    lambda L: _loaded(L).quarantine.groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows")),
+    # In the files with another header, the header is a row like the others.
+    f"""SELECT reason, count(*) AS n_rows FROM (
+          SELECT CASE WHEN {_NUMBER} % 17 = 5 THEN 'header' WHEN {_NUMBER} % 29 = 3 THEN 'too few columns' ELSE 'too many columns' END AS reason
+          FROM raw_products WHERE {_NUMBER} % 17 = 5 OR {_NUMBER} % 29 = 3 OR {_NUMBER} % 31 = 4
+          UNION ALL SELECT 'header' FROM raw_products WHERE {_NUMBER} % 17 = 5) t GROUP BY reason""",
+)
+_REPORT = ("n_rows", "clean_rows", "bad_rows", "header", "too_few_columns", "too_many_columns", "malformed")
+_add(
+    "csv_load_report",
+    lambda L: _loaded(L).report.agg(*[F.sum(c).alias(c) for c in _REPORT]),
+    f"""SELECT count(*) + sum(h) AS n_rows, sum((h = 0 AND f = 0 AND m = 0)::INT)::BIGINT AS clean_rows,
+               sum(2 * h + (h = 0 AND (f = 1 OR m = 1))::INT)::BIGINT AS bad_rows, sum(2 * h)::BIGINT AS "header",
+               sum((h = 0 AND f = 1)::INT)::BIGINT AS too_few_columns, sum((h = 0 AND f = 0 AND m = 1)::INT)::BIGINT AS too_many_columns, 0 AS malformed
+        FROM (SELECT ({_NUMBER} % 17 = 5)::INT AS h, ({_NUMBER} % 29 = 3)::INT AS f, ({_NUMBER} % 31 = 4)::INT AS m FROM raw_products) t""",
+)
+
 # ---- the versioned mart -------------------------------------------------------------------------------------
 
 _MARCH, _EVERY = "1996-03", 7

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillwright.functions import columns as C
+from tillwright.operators.combine import join_lines
 
 
 def strings(names: Sequence[str]) -> T.StructType:
@@ -32,6 +36,8 @@ RAW_CUSTOMER = strings(
     ]
 )
 RAW_ORDER = strings(["OrderID", "Date", "CustomerID", "ProdNumber", "Quantity"])
+# Why a row of a CSV file is set aside.
+REASONS = ("header", "too few columns", "too many columns", "malformed")
 EMPLOYEE = strings(["IDKaryawan", "NamaDepan", "NamaBelakang", "Jabatan", "Email", "HireDate", "Extension"])
 JOB = strings(["Jabatan", "Department"])
 
@@ -41,6 +47,52 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",
     return spark.read.schema(schema).option("header", True).option("sep", sep).csv(path)
 
 
+class CsvLoad(NamedTuple):
+    """``clean``: rows as in the schema; ``quarantine``: ``file``, ``reason``, ``record``; ``report``: row counts by file."""
+
+    clean: DataFrame
+    quarantine: DataFrame
+    report: DataFrame
+
+
+def load_csv(spark: SparkSession, path: str | list[str], schema: T.StructType, folder: str, sep: str = ",") -> CsvLoad:
+    """CSV with header lines, loaded into ``folder``; rows that do not fit are stored with the reason, not nulled.
+
+    A row is set aside if it has too few or too many columns or is broken otherwise (an open quote), and all rows of a file
+    without the expected header. A row that repeats the header is no data. Every file is parsed once, with all its columns,
+    as the parser only counts the columns that it is asked for.
+    """
+    names = schema.names
+    parsed = spark.read.schema(T.StructType([*schema.fields, T.StructField("_record", T.StringType())]))
+    parsed = parsed.option("sep", sep).option("escape", "\"").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_record").csv(path)
+    is_header = reduce(lambda a, b: a & b, [F.trim(F.coalesce(F.col(n), F.lit(""))) == n for n in names]) & F.col("_record").isNull()
+    parsed.select(*names, "_record", F.col("_metadata.file_path").alias("_file"), is_header.alias("_is_header")).write.parquet(f"{folder.rstrip('/')}/rows")
+    rows = spark.read.parquet(f"{folder.rstrip('/')}/rows")
+    headed = rows.groupBy("_file").agg(F.max("_is_header").alias("_headed"))
+    rows = join_lines(rows.filter("NOT _is_header"), headed, "_file")
+    quoted = F.regexp_replace("_record", '"([^"]|"")*"', "")
+    columns = F.size(F.split(quoted, re.escape(sep)))
+    reason = (
+        F.when(~F.col("_headed"), "header")
+        .when(F.col("_record").isNull(), F.lit(None).cast("string"))
+        .when(columns < len(names), "too few columns")
+        .when(columns > len(names), "too many columns")
+        .otherwise("malformed")
+    )
+    record = F.coalesce("_record", F.concat_ws(sep, *[F.coalesce(F.col(n), F.lit("")) for n in names]))
+    bad = rows.select(F.col("_file").alias("file"), reason.alias("reason"), record.alias("record")).filter("reason IS NOT NULL")
+    bad.write.parquet(f"{folder.rstrip('/')}/quarantine")
+    quarantine = spark.read.parquet(f"{folder.rstrip('/')}/quarantine")
+    clean = rows.filter("_headed AND _record IS NULL").select(*names)
+    counted = quarantine.groupBy("file").agg(
+        F.count(F.lit(1)).alias("bad_rows"), *[F.count_if(F.col("reason") == r).alias(r.replace(" ", "_")) for r in REASONS]
+    )
+    total = rows.groupBy(F.col("_file").alias("file")).agg(F.count(F.lit(1)).alias("n_rows"))
+    zero = F.lit(0).cast("long")
+    report = total.join(counted, "file", "left").na.fill(0).withColumn("clean_rows", F.col("n_rows") - F.coalesce("bad_rows", zero))
+    return CsvLoad(clean, quarantine, report)
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     """Managed table by (qualified) name."""
     return spark.table(name)
