@@ -11,8 +11,11 @@ What keeps the work linear, with all links kept:
 * in a bucket every member is first compared with one pivot only (the member with the least hash), and what is linked
   becomes components;
 * members outside the largest component of their bucket are then compared with a few of its members, drawn by hash;
-* what is still in different components of one bucket is compared in full, unless the sizes of two sets or their
-  distances from the pivot (Jaccard distance obeys the triangle inequality) already exclude a link.
+* what is then still in a bucket of several components is searched by prefix: the shingles of each set are put into one
+  order, frequent ones last, and two sets that are alike enough share one among the first of both: of the smaller set
+  the first ninth, of the larger the first fifth. Copies of one text with edits of their own begin with these, so that
+  no pair of them arises unless they are links. Pairs that share such a shingle, in places that leave room for the
+  common part that a link takes, and lie in different components, are compared in full. No link is lost.
 
 All comparisons use the full sets. Intermediate tables are in the shared folder, so that lost executors cost a task and
 not the run.
@@ -40,6 +43,8 @@ UNIVERSE_BITS = 20
 BROADCAST_IDS = 2_000_000
 # Members of the largest component that an outsider meets in a bucket before it is compared with all.
 DRAWN = 16
+# Sets, and shingles of one, that the order of shingles is taken from.
+ORDER_SETS, ORDER_SHINGLES = 1024, 50_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -116,36 +121,29 @@ def signatures(docs: DataFrame, shingle_words: int, bands: int = BANDS, band_row
 
 
 def _sets(docs: DataFrame, ids: DataFrame, shingle_words: int) -> DataFrame:
-    """``node`` and its shingle set as bytes, for the documents named in ``ids``."""
+    """``node`` and its shingle set, for the documents named in ``ids``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = _WordHashes()
         for batch in batches:
-            sets = [shingle_set(t or b"", hashes, shingle_words).tobytes() for t in batch.column("text").cast(pa.binary()).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], ["node", "found"])
+            sets = [shingle_set(t or b"", hashes, shingle_words).view(np.int64) for t in batch.column("text").cast(pa.binary()).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "found"])
 
     few = ids.count() <= BROADCAST_IDS
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text")
-    return texts.join(F.broadcast(ids) if few else ids, "node", "left_semi").mapInArrow(run, "node long, found binary")
+    return texts.join(F.broadcast(ids) if few else ids, "node", "left_semi").mapInArrow(run, "node long, found array<long>")
 
 
 def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``a``, ``b`` of ``pairs`` with the sizes of the intersection (``both``) and the union (``either``) of their sets."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            both, either = [], []
-            for x, y in zip(batch.column("found_a").to_pylist(), batch.column("found_b").to_pylist(), strict=True):
-                x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                both.append(common)
-                either.append(len(x) + len(y) - common)
-            columns = [batch.column("a"), batch.column("b"), pa.array(both, pa.int64()), pa.array(either, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "both", "either"])
+    """``a``, ``b`` of ``pairs`` with the sizes of the intersection (``both``) and the union (``either``) of their sets.
 
+    Two sets are held at a time, however long they are.
+    """
     with_b = pairs.join(sets.select(F.col("node").alias("b"), F.col("found").alias("found_b")), "b")
     with_both = with_b.join(sets.select(F.col("node").alias("a"), F.col("found").alias("found_a")), "a")
-    return with_both.select("a", "b", "found_a", "found_b").mapInArrow(run, "a long, b long, both long, either long")
+    sizes = F.size("found_a") + F.size("found_b")
+    counted = with_both.select("a", "b", F.size(F.array_intersect("found_a", "found_b")).cast("long").alias("both"), sizes.cast("long").alias("sizes"))
+    return counted.select("a", "b", "both", (F.col("sizes") - F.col("both")).alias("either"))
 
 
 def _may_link(x: str, y: str) -> Column:
@@ -206,9 +204,9 @@ def near_duplicates(
     links = compared.filter(f"100 * both >= {PERCENT} * either").select("a", "b")
     found = components(links)
 
-    for drawn in (DRAWN, None):
-        rest = materialise(_unsettled(members, compared, found, drawn), "unsettled")
-        if rest.isEmpty():
+    for search in (_drawn_pairs, _prefix_pairs):
+        rest = search(members, sets, compared, found)
+        if rest is None or (rest := materialise(rest, "unsettled")).isEmpty():
             continue
         compared = compared.unionByName(materialise(_compared(rest, sets), "compared"))
         links = compared.filter(f"100 * both >= {PERCENT} * either").select("a", "b")
@@ -222,9 +220,9 @@ def near_duplicates(
     return whole.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", kept)
 
 
-def _unsettled(members: DataFrame, compared: DataFrame, found: DataFrame, drawn: int | None) -> DataFrame:
-    """Pairs that share a bucket but neither a component nor a bound that excludes a link, and were not compared yet:
-    all of them, or those of outsiders with about ``drawn`` members of the largest component of the bucket."""
+def _drawn_pairs(members: DataFrame, sets: DataFrame, compared: DataFrame, found: DataFrame) -> DataFrame:
+    """Members outside the largest component of their bucket, with about ``DRAWN`` members of it, unless a bound excludes a
+    link: the sizes of the sets, or their distances from the pivot (Jaccard distance obeys the triangle inequality)."""
     gap = F.lit(1.0) - F.col("both") / F.col("either")
     near = compared.select(F.col("a").alias("pivot"), F.col("b").alias("node"), gap.alias("gap"))
     placed = (
@@ -235,21 +233,86 @@ def _unsettled(members: DataFrame, compared: DataFrame, found: DataFrame, drawn:
     )
     shares = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"))
     mixed = shares.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("main"), F.count("*").alias("parts")).filter("parts > 1")
-    slots = F.lit(1).cast("long") if drawn is None else F.ceil(F.col("main.n") / drawn)
+    slots = F.ceil(F.col("main.n") / DRAWN)
     open_ = placed.join(mixed.select("bucket", slots.alias("slots"), F.col("main.component").alias("main")), "bucket")
     one = open_.filter("component <> main").withColumn("slot", F.pmod(F.xxhash64("node", "bucket"), "slots"))
-    two = (open_ if drawn is None else open_.filter("component = main")).withColumn("slot", F.pmod(F.xxhash64("node"), "slots"))
+    two = open_.filter("component = main").withColumn("slot", F.pmod(F.xxhash64("node"), "slots"))
     columns = ["node", "size", "gap", "component"]
     one = one.select("bucket", "slot", "main", *[F.col(c).alias(f"{c}_1") for c in columns])
     two = two.select("bucket", "slot", *[F.col(c).alias(f"{c}_2") for c in columns])
     # Without a gap (the pivot's size excluded a link) nothing follows from it. The margin covers rounding.
     apart = F.coalesce(F.abs(F.col("gap_1") - F.col("gap_2")) > 1 - PERCENT / 100 + 1e-9, F.lit(False))
     pairs = one.join(two, ["bucket", "slot"]).filter((F.col("component_1") != F.col("component_2")) & _may_link("size_1", "size_2") & ~apart)
+    return _not_compared(pairs, compared)
+
+
+def _not_compared(pairs: DataFrame, compared: DataFrame) -> DataFrame:
     pairs = pairs.select(F.least("node_1", "node_2").alias("a"), F.greatest("node_1", "node_2").alias("b")).distinct()
     known = compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     return pairs.join(known, ["a", "b"], "left_anti")
 
 
+def _frequent(sets: DataFrame, nodes: DataFrame) -> dict[int, int]:
+    """Shingles that many of the nodes share, with how many of a bounded number of them. They only set the order in which
+    shingles are tried; any order gives the same links."""
+    few = nodes.orderBy(F.xxhash64("node")).limit(ORDER_SETS).select("node")
+    drawn = sets.join(F.broadcast(few), "node", "left_semi").filter(F.size("found") <= ORDER_SHINGLES).select("found")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [batch.column("found").flatten().to_numpy() for batch in batches]
+        shingles, counts = np.unique(np.concatenate(held), return_counts=True) if held else (np.empty(0, np.int64),) * 2
+        most = np.lexsort((shingles, -counts))[: ORDER_SHINGLES]
+        most = most[counts[most] > 1]
+        yield pa.RecordBatch.from_arrays([pa.array(shingles[most], pa.int64()), pa.array(counts[most], pa.int64())], ["shingle", "n"])
+
+    return {r["shingle"]: r["n"] for r in drawn.repartition(1).mapInArrow(run, "shingle long, n long").collect()}
+
+
+def _prefix_pairs(members: DataFrame, sets: DataFrame, compared: DataFrame, found: DataFrame) -> DataFrame | None:
+    """Pairs of nodes of buckets with several components that share a shingle of their prefixes, and may be links."""
+    placed = members.join(found, "node", "left").select("bucket", "node", "size", F.coalesce("component", "node").alias("component"))
+    mixed = placed.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
+    nodes = materialise(placed.join(mixed.select("bucket"), "bucket", "left_semi").select("node", "size", "component").distinct(), "open")
+    if nodes.isEmpty():
+        return None
+    frequent = sets.sparkSession.sparkContext.broadcast(_frequent(sets, nodes))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared = np.array(sorted(frequent.value), dtype=np.int64)
+        counts = np.array([frequent.value[s] for s in shared.tolist()], dtype=np.int64)
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1)
+                shingles = row.column("found").flatten().to_numpy()
+                n = len(shingles)
+                often = np.zeros(n, dtype=np.int64)
+                if len(shared):
+                    place = np.minimum(np.searchsorted(shared, shingles), len(shared) - 1)
+                    often = np.where(shared[place] == shingles, counts[place], 0)
+                probe = n - -(-PERCENT * n // 100) + 1
+                index = n - -(-2 * PERCENT * n // (100 + PERCENT)) + 1
+                first = shingles[np.lexsort((shingles, often))[:probe]]
+                k = len(first)
+                same = [pa.array([row.column(c)[0].as_py()] * k, pa.int64()) for c in ("node", "size", "component")]
+                columns = [pa.array(first), pa.array(np.arange(1, k + 1)), pa.array(np.arange(k) < index)]
+                yield pa.RecordBatch.from_arrays([*same, *columns], ["node", "size", "component", "shingle", "place", "indexed"])
+
+    schema = "node long, size long, component long, shingle long, place long, indexed boolean"
+    prefixes = materialise(sets.join(nodes, "node").select("node", "size", "component", "found").mapInArrow(run, schema), "prefixes")
+    # A shingle that one node has, or one component, or none in the short prefix, makes no pair.
+    met = prefixes.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("indexed").alias("any"))
+    of_many = prefixes.join(met.filter("lo < hi AND any").select("shingle"), "shingle", "left_semi")
+    columns = ["node", "size", "component", "place"]
+    one = of_many.select("shingle", *[F.col(c).alias(f"{c}_1") for c in columns])
+    two = of_many.filter("indexed").select("shingle", *[F.col(c).alias(f"{c}_2") for c in columns])
+    larger = F.struct("size_1", "node_1") > F.struct("size_2", "node_2")
+    # At the first shingle that both have, what can still be common must be enough for a link.
+    room = 1 + F.least(F.col("size_1") - F.col("place_1"), F.col("size_2") - F.col("place_2"))
+    enough = (100 + PERCENT) * room >= PERCENT * (F.col("size_1") + F.col("size_2"))
+    pairs = one.join(two, "shingle").filter(larger & (F.col("component_1") != F.col("component_2")) & _may_link("size_1", "size_2") & enough)
+    return _not_compared(pairs, compared)
+
+
 def deduplicate(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
     """``docs`` with one document of each group: the one with the smallest doc_id (all columns as they are).
 
