@@ -443,3 +443,17 @@ def test_components_of_long_chains(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 200), (200, 100), (7, 7)] + [(300, 300 + i) for i in range(1, 30)]
     found = dict(map(tuple, near_dedup.components(spark.createDataFrame(edges, "a long, b long")).collect()))
     assert all(found[i] == 0 for i in range(1, 41)) and found[200] == 100 and all(found[300 + i] == 300 for i in range(1, 30))
+
+
+@pytest.mark.parametrize("chunk_words", [1000, 25, 10, 1])
+def test_cuts_do_not_depend_on_chunks(spark, chunk_words):
+    """Windows of items of different chunks overlap in a text, and a cut brings halves of another chunk's window together."""
+    w = [f"w{i}" for i in range(1, 40)]
+    items = spark.createDataFrame([(1, " ".join(w[:10])), (2, " ".join(w[5:15])), (3, " ".join(w[20:30])), (4, "a b c")], "item_id int, text string")
+    rest = " ".join(f"z{i}" for i in range(60))
+    texts = {0: " ".join(w[:15]) + " " + rest, 1: " ".join([*w[20:25], *w[:10], *w[25:30]]) + " " + rest, 2: rest, 3: None, 4: " ".join(w[:10]), 5: f"{rest} a a b c b c a a b c b c end"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r["doc_id"]: r["text"] for r in decontamination.decontaminate(docs, items, chunk_words=chunk_words).collect()}
+    assert found.keys() == {0, 1, 2, 3, 5}
+    assert found[0].split() == found[1].split() == rest.split() and found[2] == rest and found[3] is None
+    assert found[5].split() == [*rest.split(), "end"]

@@ -5,19 +5,22 @@ the longest run of words, ending here, that also stands in some item. Where that
 (``window`` consecutive item words, or all words of a shorter item), the words of the window are hit and the items that
 hold it are noted. The work per document word is constant, however many items there are.
 
-Items are taken in chunks of at most ``CHUNK_WORDS`` words, which bounds what is sent to the executors: one automaton a
-chunk, one pass over the documents for each.
+Items are taken in chunks of at most ``CHUNK_WORDS`` words, which bounds what the driver and a task hold: one automaton a
+chunk, one pass over the documents for each. Results do not depend on the chunks.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillwright.session import materialise
+
 WINDOW = 10
 # Words of test items in one automaton (it has at most twice as many states).
 CHUNK_WORDS = 250_000
@@ -167,24 +170,26 @@ def scan(docs: DataFrame, chunk: list[tuple[str, list[bytes]]], window: int) ->
     return docs.mapInArrow(run, docs.schema)
 
 
-def chunks_of(benchmark: DataFrame, chunk_words: int) -> list[list[tuple[str, list[bytes]]]]:
+def chunks_of(benchmark: DataFrame, chunk_words: int) -> Iterator[list[tuple[str, list[bytes]]]]:
     """Items with words, in chunks of at most ``chunk_words`` words (an item longer than that is a chunk of its own).
 
-    Rows stream through the driver a partition at a time. An item id on several rows stands for all their texts.
+    Rows stream through the driver a partition at a time, and one chunk is held. An item id on several rows stands for all
+    their texts.
     """
     rows = benchmark.select(F.col("item_id").cast("string").alias("item"), F.col("text").alias("body"))
-    chunks: list[list[tuple[str, list[bytes]]]] = []
+    chunk: list[tuple[str, list[bytes]]] = []
     size = 0
     for row in rows.filter("item IS NOT NULL AND body IS NOT NULL").orderBy("item", "body").toLocalIterator():
         words = words_of(row["body"].encode())
         if not words:
             continue
-        if not chunks or size + len(words) > chunk_words:
-            chunks.append([])
-            size = 0
-        chunks[-1].append((row["item"], words))
+        if chunk and size + len(words) > chunk_words:
+            yield chunk
+            chunk, size = [], 0
+        chunk.append((row["item"], words))
         size += len(words)
-    return chunks
+    if chunk:
+        yield chunk
 
 
 def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, chunk_words: int = CHUNK_WORDS) -> DataFrame:
@@ -201,9 +206,11 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, chunk_word
         F.array().cast("array<struct<first:int,end:int>>").alias("spans"),
         F.array().cast("array<string>").alias("items"),
     )
-    for chunk in chunks_of(benchmark, chunk_words) or [[]]:
-        found = scan(found, chunk, window)
-    return found
+    number = -1
+    for number, chunk in enumerate(chunks_of(benchmark, chunk_words)):
+        # Written between the passes, so that a task holds one automaton.
+        found = scan(materialise(found, "scanned") if number else found, chunk, window)
+    return found if number >= 0 else scan(found, [], window)
 
 
 def n_hit() -> Column:
@@ -226,19 +233,51 @@ def decontaminate(
 ) -> DataFrame:
     """``docs`` without benchmark passages, same columns.
 
-    Hit spans are cut, again until none is left (a cut can bring two halves of a window together); a document that loses
-    more than ``max_coverage`` of its words goes as a whole. Documents without a hit stay as they are.
+    Hit spans, of all items, are cut, again until none is left (a cut can bring two halves of a window together); a
+    document that loses more than ``max_coverage`` of its words goes as a whole. Documents without a hit stay as they are.
+    The result does not depend on ``chunk_words``: nothing is cut before all chunks have been searched.
     """
     text = next(c for c in docs.columns if c.lower() == "text")
     others = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text], F.lit(0).alias("_")).alias("others")
-    lost = F.lit(0.0).alias("lost")
-    kept = docs.select(F.col(f"`{text}`").alias("text"), others, lost)
-    for chunk in chunks_of(benchmark, chunk_words):
-        kept = _cut(kept, chunk, window)
+    kept = docs.select(F.col(f"`{text}`").alias("text"), others, F.lit(0.0).alias("lost"))
+    chunks = chunks_of(benchmark, chunk_words)
+    first, second = next(chunks, None), next(chunks, None)
+    if second is not None:
+        kept = _cut_in_passes(kept, benchmark, window, chunk_words)
+    elif first is not None:
+        kept = _cut(kept, first, window)
     kept = kept.filter(F.col("lost") <= max_coverage)
     return kept.select(*[F.col("text").alias(c) if c == text else F.col("others").getField(c).alias(c) for c in docs.columns])
 
 
+def _cut_in_passes(docs: DataFrame, benchmark: DataFrame, window: int, chunk_words: int) -> DataFrame:
+    """As ``_cut``, for items of several chunks: all spans of a row are found, then cut, and changed rows are searched again."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, cut = batch.column("text").cast(pa.binary()).to_pylist(), batch.column("cut").to_pylist()
+            for i, spans in enumerate(batch.column("spans").to_pylist()):
+                found = [(s["first"], s["end"]) for s in spans]
+                if found:
+                    texts[i] = without_spans(texts[i], found)
+                    cut[i] += sum(end - first for first, end in found)
+            words = [n if m is None else m for n, m in zip(batch.column("n_words").to_pylist(), batch.column("words").to_pylist(), strict=True)]
+            columns = [pa.array(texts, pa.binary()).cast(pa.string()), batch.column("others"), pa.array(cut, pa.int64()), pa.array(words, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["text", "others", "cut", "words"])
+
+    lost = F.when(F.col("words") > 0, F.col("cut") / F.col("words")).otherwise(0.0).alias("lost")
+    rows = docs.select("text", "others", F.lit(0).cast("long").alias("cut"), F.lit(None).cast("long").alias("words"))
+    done: list[DataFrame] = []
+    while True:
+        found = materialise(find(rows, benchmark, window, chunk_words), "found")
+        hit = F.size("spans") > 0
+        done.append(found.filter(~hit).select("text", "others", lost))
+        changed = found.filter(hit)
+        if changed.isEmpty():
+            return reduce(DataFrame.unionByName, done)
+        rows = materialise(changed.mapInArrow(run, rows.schema), "cut")
+
+
 def _cut(docs: DataFrame, chunk: list[tuple[str, list[bytes]]], window: int) -> DataFrame:
     """``text`` without windows of the chunk, and in ``lost`` the share of all words cut so far."""
     shared = docs.sparkSession.sparkContext.broadcast((chunk, window))
