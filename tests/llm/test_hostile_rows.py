@@ -457,3 +457,57 @@ def test_cuts_do_not_depend_on_chunks(spark, chunk_words):
     assert found.keys() == {0, 1, 2, 3, 5}
     assert found[0].split() == found[1].split() == rest.split() and found[2] == rest and found[3] is None
     assert found[5].split() == [*rest.split(), "end"]
+
+
+PROSE = ["The first paragraph of the story is here, and it says what there is to say about the matter.", "It was a long day for all of them, but in the end they had the answer that they were looking for."]
+
+
+def _paragraphs(texts):
+    return "".join(f"<p>{t}</p>" for t in texts)
+
+
+def test_extraction_of_other_languages():
+    chinese = ["今天上午，市政府宣布了一项新的城市交通计划，旨在缓解高峰时段的拥堵问题，并改善公共交通服务。", "根据该计划，未来三年内将新增多条公交线路，同时扩建地铁网络，预计将惠及数百万居民。"]
+    russian = ["Сегодня утром городские власти объявили о новом плане развития транспорта, который должен уменьшить пробки.", "По этому плану за три года появятся новые автобусные маршруты, а сеть метро станет заметно длиннее."]
+    for texts in (chinese, russian):
+        page = f"<html><body><div class='menu'><a href='/'>x</a></div><div>{_paragraphs(texts)}</div></body></html>"
+        assert extraction.main_text(page) == "\n\n".join(texts)
+
+
+def test_extraction_of_quotes_in_tags():
+    third = "And so the third one ends the text, as it was meant to be from the start of the whole thing."
+    page = f"<body><p data-x=it's>{PROSE[0]}</p><p title=\"a > b\">{PROSE[1]}</p><p class='x' don't>{third}</p></body>"
+    assert extraction.main_text(page) == "\n\n".join([*PROSE, third])
+
+
+def test_extraction_of_what_surrounds_an_article():
+    comment = "I do not think that this is right, but it was good to read what you have to say about it."
+    cookie = "We use cookies on this site so that we can give you the best of what we have for you and your family."
+    article = f"<article><h1>Story</h1>{_paragraphs(PROSE * 2)}</article>"
+    expected = "\n\n".join(["Story", *PROSE * 2])
+    for page in (
+        f"{article}<section><h2>Comments</h2><div>{_paragraphs([comment] * 2)}</div></section>",
+        f"<div>{cookie}</div>{article}",
+        f"{article}<div class=relatedPosts>{_paragraphs([comment])}</div>",
+        f"{article}<div>Copyright 2020 Acme</div>",
+    ):
+        assert extraction.main_text(f"<html><body>{page}</body></html>") == expected
+    plain = f"<div>{_paragraphs(PROSE)}</div>"
+    for page in (f"{plain}<div>Copyright 2020 Acme</div>", f"{plain}<h2>3 Kommentare</h2>{_paragraphs([comment])}", f"{plain}<div class=relatedPosts>{_paragraphs([comment])}</div>"):
+        assert extraction.main_text(page) == "\n\n".join(PROSE)
+    # A short teaser in an article does not displace the text of the page.
+    assert PROSE[1] in extraction.main_text(f"<article><p>A short teaser.</p></article>{_paragraphs(PROSE)}")
+
+
+def test_extraction_of_many_open_elements():
+    import time
+
+    page = "<body>" + "<i>" * 50_000 + "<p>x</i>" * 50_000 + _paragraphs(PROSE)
+    began = time.process_time()
+    assert PROSE[0] in extraction.main_text(page)
+    assert time.process_time() - began < 5
+
+
+def test_extraction_of_no_pages(spark):
+    pages = spark.createDataFrame([], "page_id long, url string, html string, text int")
+    assert extraction.extract(pages).columns == ["page_id", "url", "text", "n_chars"] and extraction.extract(pages).count() == 0

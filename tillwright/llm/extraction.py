@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -58,10 +59,17 @@ _LAYOUT = frozenset("banner header masthead menu menubar nav navbar navigation p
 _ABOUT_LAYOUT = frozenset("has with no is without".split())
 _HEADING_LIKE = frozenset("header banner masthead tags".split())
 _BODY = frozenset("article post entry story content main body text".split())
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(?:!|\?)[^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|\Z)", re.S)
+# In a tag, quotation marks hold an attribute's value after "=", and are ordinary characters anywhere else.
+_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(?:!|\?)[^>]*(?:>|\Z)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>=]++|=\s*+(?>\"[^\"]*\"|'[^']*'|[^\s>\"'][^\s>]*+)?)*+)(?:>|\Z)", re.S)
 _NAMES = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 _NAME_PARTS = re.compile(r"[a-z]+")
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+# Characters of scripts that part no words, each about as much text as three letters.
+_WIDE = re.compile("[\u0e00-\u0e7f\u3040-\u30ff\u3400-\u9fff]")
+# Words of the heading above reader comments, and the beginning of a copyright line.
+_COMMENTS = frozenset("comments comment kommentare kommentar commentaires commentaire comentarios comentario".split())
+_COPYRIGHT = re.compile(r"(?:©|\(c\)|copyright\b|all rights reserved)", re.I)
 _SPACE = re.compile(r"\s+")
 _LETTERS = re.compile(r"[^\W\d_]+")
 _ENDS = {name: re.compile(rf"</{name}\s*(?:>|\Z)", re.I) for name in ("script", "style", "textarea", "title")}
@@ -108,7 +116,7 @@ class Region:
 def _furniture_names(attributes: str) -> set[str]:
     names: set[str] = set()
     for _, value in _NAMES.findall(attributes):
-        for name in value.lower().split():
+        for name in _CAMEL.sub("-", value).lower().split():
             parts = _NAME_PARTS.findall(name)
             found = {p for before, p in zip(["", *parts], parts, strict=False) if p in _FURNITURE and before not in _ABOUT_LAYOUT}
             if found and parts[0] not in _ABOUT_LAYOUT and not (found <= _HEADING_LIKE and _BODY.intersection(parts)):
@@ -162,6 +170,7 @@ def blocks_of(page: str) -> list[Block]:
     current = Block()
     # Open elements: name, whether it makes its content furniture, an article, silent, or a link.
     stack: list[tuple[str, bool, bool, bool, bool]] = []
+    count: Counter[str] = Counter()  # of open elements, by name
     furniture = article = silent = link = heading = 0
     wrappers, regions = [Wrapper(0, 0, True)], [Region(0, False, False, False)]
     # Open wrappers with the depth of their elements, innermost last; and the open region.
@@ -193,6 +202,7 @@ def blocks_of(page: str) -> list[Block]:
         if open_wrappers[-1][1] == len(stack) > 0:
             open_wrappers.pop()
         name, f, a, s, k = stack.pop()
+        count[name] -= 1
         furniture, article, silent, link = furniture - f, article - a, silent - s, link - k
         heading -= name in ("h1", "h2", "h3", "h4", "h5", "h6")
         region = region if article else 0
@@ -210,7 +220,7 @@ def blocks_of(page: str) -> list[Block]:
             continue
         name = tag[2].lower()
         if silent and not tag[1]:
-            if name == "body" and any(entry[0] == "head" for entry in stack):
+            if name == "body" and count["head"]:
                 while pop() != "head":
                     pass
             elif stack[-1][0] == "head" and name not in _IN_HEAD:
@@ -221,7 +231,7 @@ def blocks_of(page: str) -> list[Block]:
         if name in _BLOCK:
             close_block()
         if tag[1]:
-            if any(entry[0] == name for entry in stack):
+            if count[name]:
                 while pop() != name:
                     pass
             continue
@@ -234,7 +244,7 @@ def blocks_of(page: str) -> list[Block]:
         # What a tag closes by itself: a paragraph ends where a block begins, a link where another does.
         if name in _BLOCK:
             while stack and stack[-1][0] in ("p", "b", "i", "em", "strong", "span", "a", "u", "small", "font"):
-                if "p" not in (entry[0] for entry in stack) and stack[-1][0] != "a":
+                if not count["p"] and stack[-1][0] != "a":
                     break
                 if pop() == "p":
                     break
@@ -248,6 +258,7 @@ def blocks_of(page: str) -> list[Block]:
             hidden, named = name not in _ARTICLE and bool(_HIDDEN.search(attributes)), bool(names)
         entry = (name, never or hidden, is_article, name in _SILENT, name == "a")
         stack.append(entry)
+        count[name] += 1
         if is_article and not inside:
             regions.append(Region(open_wrappers[-1][0], name == "main", named, furniture > 0))
             region = len(regions) - 1
@@ -262,16 +273,19 @@ def blocks_of(page: str) -> list[Block]:
     return out
 
 
-def decide(block: Block) -> bool | None:
-    """First pass: content, boilerplate, or undecided."""
-    if block.furniture:
+def decide(block: Block, known: bool = True) -> bool | None:
+    """First pass: content, boilerplate, or undecided. Pages in a language whose function words are not ``known`` are
+    judged by length and links alone."""
+    if block.furniture or (len(block.text) < LONG and _COPYRIGHT.match(block.text)):
         return False
-    words = [w.lower() for w in _LETTERS.findall(block.text)]
     if block.linked > LINK_DENSITY * len(block.text):
         return None if block.article and len(block.text) > SHORT else False
-    density = sum(w in STOP_WORDS for w in words) / max(1, len(words))
-    if block.heading or len(block.text) < SHORT:
+    size = len(block.text) + 2 * len(_WIDE.findall(block.text))
+    if block.heading or size < SHORT:
         return None
+    if not known:
+        return True
+    density = _density(block.text)
     if density >= STOP_DENSITY_HIGH:
         return True
     if density >= STOP_DENSITY_LOW and len(block.text) >= LONG:
@@ -279,10 +293,37 @@ def decide(block: Block) -> bool | None:
     return None if block.article or len(block.text) < LONG else False
 
 
+def _density(text: str) -> float:
+    words = [w.lower() for w in _LETTERS.findall(text)]
+    return sum(w in STOP_WORDS for w in words) / max(1, len(words))
+
+
+def _settle_article(blocks: list[Block]) -> None:
+    """Mark as furniture what stands under a heading of reader comments outside the article, and, if the page's articles
+    hold a third of its running text or more, all that stands outside them."""
+    comments = False
+    for block in blocks:
+        if block.heading:
+            words = [w.lower() for w in _LETTERS.findall(block.text)]
+            comments = len(words) <= 3 and not _COMMENTS.isdisjoint(words)
+        block.furniture = block.furniture or (comments and not block.article)
+    inside = outside = 0
+    for block in blocks:
+        if not block.furniture and len(block.text) >= SHORT:
+            size = len(block.text) - block.linked
+            inside, outside = inside + size * block.article, outside + size * (not block.article)
+    if inside >= LONG and 2 * inside >= outside:
+        for block in blocks:
+            block.furniture = block.furniture or not block.article
+
+
 def main_text(page: str) -> str:
     """Content blocks of a page, joined by an empty line."""
     blocks = blocks_of(page)
-    labels = [decide(b) for b in blocks]
+    _settle_article(blocks)
+    running = " ".join(b.text for b in blocks if not b.furniture and b.linked <= LINK_DENSITY * len(b.text))
+    known = _density(running) >= STOP_DENSITY_LOW / 2
+    labels = [decide(b, known) for b in blocks]
     final = list(labels)
     before, last = [], None
     for i, label in enumerate(labels):
