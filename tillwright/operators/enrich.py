@@ -9,6 +9,7 @@ from pyspark.sql.window import Window as W
 from tillwright.functions import columns as C
 from tillwright.operators.master import MASTER_COLUMNS, newest_rows
 from tillwright.operators.scale import global_ntile
+from tillwright.session import materialise
 
 # Labels and bounds.
 PRICE_BUCKETS = ("Under 20", "20–49.99", "50–99.99", "100+")
@@ -16,6 +17,9 @@ PRICE_BOUNDS = (20, 50, 100)
 CITY_TIERS = ("Tier 1 (Top)", "Tier 2", "Tier 3 (Emerging)")
 CATEGORY_TIERS = ("Tier 1 (Core)", "Tier 2", "Tier 3 (Long tail)")
 
+# Up to this many keys, counted before, are ranked in one window; more of them by a sort over all tasks, with the same result.
+WINDOW_KEYS = 100_000
+
 # Identical lines are unfolded in pieces of this many.
 _COPIES_PER_ROW = 1 << 16
 
@@ -114,8 +118,12 @@ def with_customer_history(master: DataFrame, repeat_by_day: bool = False) -> Dat
 def _tiers(master: DataFrame, key: str, labels: tuple[str, ...], sales: str, tile: str, tier: str, per_year: bool) -> DataFrame:
     lines = master.select(key, C.year("order_date").alias("order_year"), "total_sales") if per_year else master
     by = ["order_year"] if per_year else []
-    totals = lines.groupBy(*by, key).agg(F.sum("total_sales").alias(sales))
-    tiled = global_ntile(totals, 3, [F.desc(sales), F.asc(key)], tile, by)
+    totals = materialise(lines.groupBy(*by, key).agg(F.sum("total_sales").alias(sales)), "totals")
+    order = [F.desc(sales), F.asc(key)]
+    if totals.count() <= WINDOW_KEYS:
+        tiled = totals.withColumn(tile, F.ntile(3).over(W.partitionBy(*by).orderBy(*order)).cast("bigint"))
+    else:
+        tiled = global_ntile(totals, 3, order, tile, by)
     return tiled.withColumn(tier, _tier_label(tile, labels))
 
 
@@ -126,7 +134,7 @@ def _tier_label(tile: str, labels: tuple[str, ...]) -> Column:
 
 def city_tiers(master: DataFrame, per_year: bool = False) -> DataFrame:
     """Cities in three tiers by sales, over all time or within each year; ties go by name. Cities are free text, as many
-    as there may be: they are ranked without bringing them into one task."""
+    as there may be: when they are more than ``WINDOW_KEYS``, they are ranked without bringing them into one task."""
     return _tiers(master, "cust_city", CITY_TIERS, "city_sales", "city_ntile", "city_tier", per_year)
 
 

@@ -141,6 +141,11 @@ class StoredLayers:
     def ext(self) -> DataFrame:
         return enrich.master_sales_ext(self.stored_master)
 
+    @cached_property
+    def history(self) -> DataFrame:
+        """``ext`` without tiers, for queries that ask for none: finding them takes passes over all lines."""
+        return enrich.with_line_columns(self.stored_master)
+
     @cached_property
     def dates(self) -> DataFrame:
         return star.dim_date(date_bounds(self.stored_lines))

@@ -413,10 +413,10 @@ _add(
     lambda L: ex.qa_ext_nulls(L.ext),
     "SELECT count(*) AS rows_ext, " + ", ".join(f"count(*) - count({c}) AS null_{c}" for c in _EXT_NULLS) + " FROM ext",
 )
-_add("ext_qa_range", lambda L: ms.date_range(L.ext), "SELECT min(order_date) AS min_date, max(order_date) AS max_date FROM ext")
+_add("ext_qa_range", lambda L: ms.date_range(L.history), "SELECT min(order_date) AS min_date, max(order_date) AS max_date FROM ext")
 _add(
     "ext_repeat_distribution",
-    lambda L: ex.repeat_distribution(L.ext),
+    lambda L: ex.repeat_distribution(L.history),
     "SELECT is_repeat_customer, count(*) AS row_count FROM ext GROUP BY ALL",
 )
 _add(
@@ -806,7 +806,7 @@ def _field_query(*fields: str) -> None:
     lifecycle = {"customer_type", "tenure_segment"} & set(fields)
     _add(
         name,
-        lambda L: sl.with_fields(L.ext if lifecycle else ex.with_price_bucket(L.master), *fields)
+        lambda L: sl.with_fields(L.history if lifecycle else ex.with_price_bucket(L.master), *fields)
         .groupBy(*fields)
         .agg(F.count("*").alias("line_count"), F.sum("total_sales").alias("sales")),
         f"SELECT {select}, count(*) AS line_count, {_SALES} AS sales FROM ext GROUP BY ALL",
@@ -832,20 +832,20 @@ _metric_query("sl_total_sales_and_quantity", ("total_sales", "total_quantity"),
 _metric_query("sl_aov_line", ("aov_line", "asp"), ("quarter_label",), _plain)
 _metric_query("sl_distinct_customers", ("distinct_customers",), ("category_name",), _plain)
 _metric_query("sl_avg_price_per_product", ("avg_price_per_product",), ("product_name", "category_name"), _plain)
-_metric_query("sl_pct_repeat_sales", ("pct_repeat_sales",), ("year_month_key",), lambda L: L.ext)
-_metric_query("sl_new_and_repeat_customers", ("n_new_customers", "n_repeat_customers"), ("year_month_key",), lambda L: L.ext)
-_metric_query("sl_repeat_rate", ("repeat_rate",), ("category_name",), lambda L: L.ext)
-_metric_query("sl_customer_averages_by_line", ("avg_orders_per_customer", "avg_ltv_gross"), ("cust_city",), lambda L: L.ext)
+_metric_query("sl_pct_repeat_sales", ("pct_repeat_sales",), ("year_month_key",), lambda L: L.history)
+_metric_query("sl_new_and_repeat_customers", ("n_new_customers", "n_repeat_customers"), ("year_month_key",), lambda L: L.history)
+_metric_query("sl_repeat_rate", ("repeat_rate",), ("category_name",), lambda L: L.history)
+_metric_query("sl_customer_averages_by_line", ("avg_orders_per_customer", "avg_ltv_gross"), ("cust_city",), lambda L: L.history)
 _add(
     "sl_customer_mix_by_city",
-    lambda L: sl.customer_mix(L.ext, ["cust_city"]),
+    lambda L: sl.customer_mix(L.history, ["cust_city"]),
     "SELECT cust_city, "
     + ", ".join(f"{_METRIC_SQL[m]} AS {m}" for m in ("distinct_customers", "n_new_customers", "n_repeat_customers", "repeat_rate", "pct_repeat_sales"))
     + " FROM ext GROUP BY ALL",
 )
 _add(
     "sl_customer_averages",
-    lambda L: sl.customer_averages(L.ext),
+    lambda L: sl.customer_averages(L.history),
     f"""SELECT {_METRIC_SQL["avg_orders_per_customer"]} AS avg_orders_per_customer, {_METRIC_SQL["avg_ltv_gross"]} AS avg_ltv_gross,
               (SELECT sum(n)::DOUBLE / count(*) FROM (SELECT count(*) AS n FROM master GROUP BY cust_email) t) AS avg_orders_by_customer,
               (SELECT sum(s)::DOUBLE / count(*) FROM (SELECT sum(total_sales) AS s FROM master GROUP BY cust_email) t) AS avg_ltv_by_customer
@@ -877,8 +877,8 @@ def _filter_query(name: str, run: Callable[[StoredLayers], DataFrame], rule: str
 _filter_query("sl_filter_category", lambda L: sl.filter_category(_plain(L), "PROMO"), "category_name = 'PROMO'")
 _filter_query("sl_filter_category_all", lambda L: sl.filter_category(_plain(L)), "true")
 _filter_query("sl_filter_city", lambda L: sl.filter_city(_plain(L), "NATION_7"), "cust_city = 'NATION_7'")
-_filter_query("sl_filter_customer_type_new", lambda L: sl.filter_customer_type(L.ext, "New"), "NOT is_repeat_customer")
-_filter_query("sl_filter_customer_type_repeat", lambda L: sl.filter_customer_type(L.ext, "Repeat"), "is_repeat_customer")
+_filter_query("sl_filter_customer_type_new", lambda L: sl.filter_customer_type(L.history, "New"), "NOT is_repeat_customer")
+_filter_query("sl_filter_customer_type_repeat", lambda L: sl.filter_customer_type(L.history, "Repeat"), "is_repeat_customer")
 _filter_query("sl_filter_price_bucket", lambda L: sl.filter_price_bucket(_plain(L), "20–49.99"), "price_bucket = '20–49.99'")
 _filter_query("sl_filter_year", lambda L: sl.filter_year(_plain(L), 1998), "year(order_date) = 1998")
 _filter_query("sl_filter_year_latest", lambda L: sl.filter_year(_plain(L)), "year(order_date) = (SELECT max(year(order_date)) FROM master)")
@@ -896,13 +896,13 @@ _add(
 _LATEST = "year(order_date) = (SELECT max(year(order_date)) FROM master)"
 _add(
     "sl_dashboard_slice_sales_by_category",
-    lambda L: sl.dashboard_slice(L.ext, ["category_name"]),
+    lambda L: sl.dashboard_slice(L.history, ["category_name"]),
     f"SELECT category_name, {_SALES} AS metric FROM ext WHERE {_LATEST} GROUP BY ALL",
 )
 _add(
     "sl_dashboard_slice_aov_by_month",
     lambda L: sl.dashboard_slice(
-        L.ext, ["year_month_key", "order_month_label"], {"p_metric": "AOV", "p_year": sl.ALL, "p_customer_type": "Repeat", "p_category": "PROMO"}
+        L.history, ["year_month_key", "order_month_label"], {"p_metric": "AOV", "p_year": sl.ALL, "p_customer_type": "Repeat", "p_category": "PROMO"}
     ),
     f"""SELECT {_FIELD_SQL["year_month_key"]} AS year_month_key, {_FIELD_SQL["order_month_label"]} AS order_month_label, {_RATIO} AS metric
         FROM ext WHERE is_repeat_customer AND category_name = 'PROMO' GROUP BY ALL""",
