@@ -64,9 +64,9 @@ def test_balls_bound_their_documents_and_are_pruned():
         dense = np.zeros(40, dtype=np.int64)
         dense[t] = c
         for ball, leaf in tree.leaves.items():
-            assert leaf.dot(dense).max() < tree.bounds[ball][q]
+            assert leaf.dot(dense).max() <= tree.bounds[ball][q]
         best = []
         scored = tree.search(q, dense, best, 5)
         scores = block.dot(dense)
         expected = sorted(((int(s), -i) for i, s in enumerate(scores)), reverse=True)[:5]
-        assert sorted(best, reverse=True) == expected and scored < len(tree.leaves)
+        assert sorted(best, reverse=True) == expected and scored < 0.7 * len(tree.leaves)

@@ -5,11 +5,17 @@ frequency. Its score for a query is the inner product with the query's term coun
 each block becomes a ball tree: a ball has the mean of its documents and the radius that holds them all, and is split
 between two documents that lie far apart. No document of a ball can score more than
 
-    query · mean + |query| · radius,
+    query · mean + |query| · radius.
 
-so a query goes from ball to ball, the highest bound first, and stops when no bound reaches its k-th best score so far;
-leaves are scored exactly, in 64-bit integers. Bounds are computed in floating point and raised by more than the rounding
-of all their operations together, so that nothing is cut that could be among the best.
+In thousands of dimensions that radius is long, but a query has few of them: a ball also has its radius along each axis
+(how far its documents reach beyond the mean there), and no document can score more than
+
+    query · (mean + radius along each axis).
+
+The lesser of both counts. A query goes from ball to ball, the highest bound first, and stops when no bound reaches its
+k-th best score so far; leaves are scored exactly, in 64-bit integers. The first bound is computed in floating point and
+raised by more than the rounding of all its operations together, the second in whole numbers, so that nothing is cut that
+could be among the best.
 
 Every task keeps the k best documents of each query over all its blocks; the k best of all tasks are the result. Queries
 are a stated set and are searched in blocks of ``QUERY_TERMS`` terms (and those of one query more at most), which bounds
@@ -35,7 +41,7 @@ from tillwright.session import materialise
 # Terms of the queries that are searched together.
 QUERY_TERMS = 60_000
 # Documents, and terms in them, of one tree; documents of a leaf.
-BLOCK_DOCS, BLOCK_ENTRIES, LEAF_DOCS = 8192, 2_000_000, 48
+BLOCK_DOCS, BLOCK_ENTRIES, LEAF_DOCS = 8192, 2_000_000, 24
 # Terms are runs of letters, digits and everything beyond ASCII; only A-Z are lowered. On UTF-8 bytes:
 _TERM_BYTES = bytes(b if b >= 0x80 or chr(b).isalnum() else 0x20 for b in range(256)).lower()
 
@@ -181,7 +187,8 @@ class Tree:
         self.leaf_docs = leaf_docs
         width = len(queries.vocabulary)
         self.flat_terms = np.concatenate(queries.terms)
-        self.flat_counts = np.concatenate(queries.counts).astype(float)
+        self.whole_counts = np.concatenate(queries.counts)
+        self.flat_counts = self.whole_counts.astype(float)
         self.query_starts = np.concatenate([[0], np.cumsum([len(t) for t in queries.terms])])[:-1]
         self.query_norms = np.sqrt(np.array([float(c @ c) for c in queries.counts]))
         # Every sum here has at most this many terms and a few roundings besides, each below 2**-53 of what is added.
@@ -192,7 +199,8 @@ class Tree:
         self.width = width
         self._build(block)
 
-    def _build(self, block: Block) -> int:
+    def _build(self, block: Block) -> tuple[int, np.ndarray]:
+        """The number of the ball, and how far its documents reach along each axis."""
         n = len(block.docs)
         number = len(self.bounds)
         values = block.values.astype(float)
@@ -210,14 +218,23 @@ class Tree:
         self.halves.append(None)
         if n <= self.leaf_docs:
             self.leaves[number] = block
-            return number
+            reach = np.zeros(self.width, dtype=np.int64)
+            np.maximum.at(reach, block.terms, block.values)
+            return self._along_axes(number, reach)
         first = int(far.argmax())
         from_first = squares + squares[first] - 2 * floats.dot(self._dense(floats, first))
         second = int(from_first.argmax())
         side = floats.dot(self._dense(floats, first) - self._dense(floats, second))
         order = np.lexsort((block.docs, side))
-        self.halves[number] = (self._build(block.rows(np.sort(order[: n // 2]))), self._build(block.rows(np.sort(order[n // 2 :]))))
-        return number
+        left, reach = self._build(block.rows(np.sort(order[: n // 2])))
+        right, reach_right = self._build(block.rows(np.sort(order[n // 2 :])))
+        self.halves[number] = (left, right)
+        return self._along_axes(number, np.maximum(reach, reach_right))
+
+    def _along_axes(self, number: int, reach: np.ndarray) -> tuple[int, np.ndarray]:
+        highest = np.add.reduceat(reach[self.flat_terms] * self.whole_counts, self.query_starts)
+        self.bounds[number] = np.minimum(self.bounds[number], highest)
+        return number, reach
 
     def _dense(self, block: Block, row: int) -> np.ndarray:
         out = np.zeros(self.width)
@@ -227,7 +244,7 @@ class Tree:
 
     def search(self, query: int, dense: np.ndarray, best: list[tuple[int, int]], k: int) -> int:
         """Put the documents into ``best`` (a heap of score and negated doc_id) that belong to its ``k`` highest; the
-        number of leaves that were scored. Bounds are at least 1 above the truth, so an equal score is never cut."""
+        number of leaves that were scored. What could equal the k-th best score is not cut, as ties go by doc_id."""
         balls = [(-self.bounds[0][query], 0)]
         scored = 0
         while balls:
