@@ -166,13 +166,11 @@ def test_views_by_name_in_another_session(spark, refreshed):
         assert "Sort" not in plan and f"/{name}" in plan
 
 
-def test_old_files_go(spark, raw, full, tmp_path_factory):
-    folder = str(tmp_path_factory.mktemp("dropped"))
-    fewer = with_orders(raw, lambda o: o.filter(~in_march(o, 2)))
-    mart.refresh(spark, fewer, folder, buckets=2, ranked=False)
-    latest = mart.refresh(spark, raw, folder, buckets=2, ranked=False)
+def test_old_files_go(spark, refreshed, full):
+    _, latest, _ = refreshed
     mart.drop_old(latest)
-    assert mart.versions(spark, folder) == [2]
-    assert len(glob.glob(f"{folder}/master_sales/run=*/order_ym=*")) == 12
-    assert contents(mart.Mart(spark, folder), "master_sales") == contents(full, "master_sales")
-    assert latest.ext.count() == full.ext.count()
+    assert mart.versions(spark, latest.folder) == [2]
+    assert len(glob.glob(f"{latest.folder}/master_sales/run=*/order_ym=*")) == 12
+    assert len(glob.glob(f"{latest.folder}/{mart.EXT}/run=*/order_ym=*/bucket=*")) == len(latest.of(mart.EXT))
+    again = mart.Mart(spark, latest.folder)
+    assert contents(again, "master_sales") == contents(full, "master_sales") and again.ext.count() == full.ext.count()
