@@ -276,7 +276,7 @@ def blocks_of(page: str) -> list[Block]:
 def decide(block: Block, known: bool = True) -> bool | None:
     """First pass: content, boilerplate, or undecided. Pages in a language whose function words are not ``known`` are
     judged by length and links alone."""
-    if block.furniture or (len(block.text) < LONG and _COPYRIGHT.match(block.text)):
+    if block.furniture or (not block.article and len(block.text) < LONG and _COPYRIGHT.match(block.text)):
         return False
     if block.linked > LINK_DENSITY * len(block.text):
         return None if block.article and len(block.text) > SHORT else False
