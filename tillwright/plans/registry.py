@@ -22,7 +22,7 @@ from tillwright.operators import semantic as sl
 from tillwright.operators import staging as st
 from tillwright.operators import star as dm
 from tillwright.operators import states
-from tillwright.plans import mart
+from tillwright.plans import bucketed, mart
 from tillwright.plans.layers import Layers, StoredLayers, TableLayers, build
 from tillwright.plans.oracle import date_of, sql
 from tillwright.plans.views import register_views
@@ -1103,6 +1103,34 @@ _add(
     ),
 )
 
+# ---- co-bucketed tables -------------------------------------------------------------------------------------
+
+
+def _bucketed(L: StoredLayers, ask: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
+    spark, made = L.raw.spark, _MADE.setdefault(L.raw.spark, {})
+    database = made.get(f"bucketed {L.raw.folder}")
+    if not (database and spark.catalog.databaseExists(database)):
+        database = made[f"bucketed {L.raw.folder}"] = f"bucketed_{uuid.uuid4().hex}"
+        bucketed.build_bucketed(L.layers, database, buckets=8)
+    return ask(spark, database)
+
+
+_add("bucketed_star_join", lambda L: _bucketed(L, bucketed.star_join), f"SELECT {_columns(dm.BASE_COLUMNS)} FROM base")
+_add(
+    "bucketed_customer_history",
+    lambda L: _bucketed(L, bucketed.customer_history),
+    """SELECT customer_sk, order_date, lines, sales::DOUBLE AS sales, row_number() OVER w AS visit, (sum(lines) OVER w - lines)::BIGINT AS lines_before,
+              (sum(sales) OVER w)::DOUBLE AS sales_to_date, order_date - lag(order_date) OVER w AS days_since_last
+       FROM (SELECT customer_sk, order_date, count(*) AS lines, sum(total_sales) AS sales FROM base GROUP BY ALL) t
+       WINDOW w AS (PARTITION BY customer_sk ORDER BY order_date)""",
+)
+_add(
+    "bucketed_customer_values",
+    lambda L: _bucketed(L, bucketed.customer_values),
+    """SELECT customer_sk, any_value(customer_email) AS customer_email, any_value(city) AS city, count(*) AS lines, sum(order_qty)::BIGINT AS qty,
+              sum(total_sales)::DOUBLE AS sales, min(order_date) AS first_purchase, max(order_date) AS last_purchase FROM base GROUP BY customer_sk""",
+)
+
 # ---- driver interface ---------------------------------------------------------------------------------------
 
 
