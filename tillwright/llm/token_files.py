@@ -15,6 +15,8 @@ which have names of their own, are never read.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import re
 import struct
@@ -39,6 +41,15 @@ _INT64_MIN = -(1 << 63)
 _PROBES = ("don't", "WE'LL", "l'Été", "x1y22z", "!?a--b", "'S", "rock'n'roll", "3.14%", "a_b", "ÀÉÎÕÜ", "¿qué?", "½x²", "''", "Ĳſǅ")
 
 
+def release_memory() -> None:
+    """Give back what earlier tasks of this Python worker have left: it serves one task after the other."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 class _Known(dict):
     """Ids of words, encoded when first asked for."""
 
@@ -221,6 +232,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int | None = 1,
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id", F.xxhash64("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         encoder, writer, path = Encoder(tokenizer, end_id), None, ""
         for batch in batches:
             texts = (t.as_py() or b"" for t in batch.column("text").cast(pa.binary()))
