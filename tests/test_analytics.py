@@ -71,7 +71,9 @@ def test_price_bucket_bounds(spark):
     assert labels == ["Under 20", "20–49.99", "20–49.99", "50–99.99", "50–99.99", "100+"]
 
 
-def test_tiers_equal_plain_windows(skewed, rows):
+@pytest.mark.parametrize("window_keys", [0, 1000])
+def test_tiers_equal_plain_windows(skewed, rows, monkeypatch, window_keys):
+    monkeypatch.setattr(enrich, "WINDOW_KEYS", window_keys)
     for key, sales, tile, tiers in (("cust_city", "city_sales", "city_ntile", enrich.city_tiers), ("category_name", "category_sales", "category_ntile", enrich.category_tiers)):
         for by in ([], ["order_year"]):
             totals = skewed.withColumn("order_year", F.year("order_date").cast("bigint")).groupBy(*by, key).agg(F.sum("total_sales").alias(sales))

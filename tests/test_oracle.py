@@ -4,6 +4,7 @@ import pytest
 
 from tests.compare import connect, difference
 from tests.conftest import SMALL
+from tillwright.operators import profiling
 from tillwright.plans import registry
 from tillwright.plans.layers import Layers, StoredLayers
 
@@ -30,8 +31,8 @@ def test_query_without_sql_has_rows(name, layers):
 
 
 def test_approximate_quantiles_are_close(layers):
-    exact = registry.QUERIES["dq_quantity_profile"].run(layers).first()
-    approx = registry.QUERIES["dq_quantity_profile_approx"].run(layers).first()
+    exact = profiling.quantity_profile(layers.raw.orders).first()
+    approx = profiling.quantity_profile(layers.raw.orders, approx=True).first()
     for name in ("q1_qty", "median_qty", "q3_qty"):
         assert abs(exact[name] - approx[name]) <= 1
 
