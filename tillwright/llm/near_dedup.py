@@ -11,9 +11,9 @@ What keeps the work linear, with all links kept:
 * in a bucket every member is first compared with one pivot only (the member with the least hash), and what is linked
   becomes components;
 * members outside the largest component of their bucket are then compared with a few of its members, drawn by hash;
-* what is then still in a bucket of several components is searched by prefix: the shingles of each set are put into one
-  order, frequent ones last, and two sets that are alike enough share one among the first of both: of the smaller set
-  the first ninth, of the larger the first fifth. Copies of one text with edits of their own begin with these, so that
+* what is then still in a bucket of several components is searched by prefix: the shingles of these sets are counted and
+  put into one order, frequent ones last, and two sets that are alike enough share one among the first of both: of the
+  smaller set the first ninth, of the larger the first fifth. Copies of one text with edits of their own begin with these, so that
   no pair of them arises unless they are links. Pairs that share such a shingle, in places that leave room for the
   common part that a link takes, and lie in different components, are compared in full. No link is lost.
 
@@ -28,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillwright.session import materialise
@@ -43,8 +43,9 @@ UNIVERSE_BITS = 20
 BROADCAST_IDS = 2_000_000
 # Members of the largest component that an outsider meets in a bucket before it is compared with all.
 DRAWN = 16
-# Sets, and shingles of one, that the order of shingles is taken from.
-ORDER_SETS, ORDER_SHINGLES = 1024, 50_000
+# Shingles that at least so many of the sets searched by prefix hold are looked up by broadcast, the most frequent ones up to
+# this number (16 bytes each); the others are joined.
+HOT_SETS, HOT_SHINGLES = 100, 50_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -252,20 +253,29 @@ def _not_compared(pairs: DataFrame, compared: DataFrame) -> DataFrame:
     return pairs.join(known, ["a", "b"], "left_anti")
 
 
-def _frequent(sets: DataFrame, nodes: DataFrame) -> dict[int, int]:
-    """Shingles that many of the nodes share, with how many of a bounded number of them. They only set the order in which
-    shingles are tried; any order gives the same links."""
-    few = nodes.orderBy(F.xxhash64("node")).limit(ORDER_SETS).select("node")
-    drawn = sets.join(F.broadcast(few), "node", "left_semi").filter(F.size("found") <= ORDER_SHINGLES).select("found")
+def _prefixes(sets: DataFrame) -> DataFrame:
+    """``shingle``, ``node``, ``size``, ``component``, ``place`` and ``indexed``: the beginnings of ``sets`` (``node``, ``size``,
+    ``component``, ``found``) in the order of how many sets hold a shingle, without shingles of one component.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [batch.column("found").flatten().to_numpy() for batch in batches]
-        shingles, counts = np.unique(np.concatenate(held), return_counts=True) if held else (np.empty(0, np.int64),) * 2
-        most = np.lexsort((shingles, -counts))[: ORDER_SHINGLES]
-        most = most[counts[most] > 1]
-        yield pa.RecordBatch.from_arrays([pa.array(shingles[most], pa.int64()), pa.array(counts[most], pa.int64())], ["shingle", "n"])
-
-    return {r["shingle"]: r["n"] for r in drawn.repartition(1).mapInArrow(run, "shingle long, n long").collect()}
+    The order covers all sets and is the same for each: first what only one component holds, which makes no pair and needs no
+    row, then by number and hash. The most frequent shingles are looked up in a broadcast table of bounded size, so that the
+    join by shingle has no hot key.
+    """
+    each = sets.select("node", "size", "component", F.explode("found").alias("shingle"))
+    held = each.groupBy("shingle").agg(F.count("*").alias("n"), F.min("component").alias("lo"), F.max("component").alias("hi"))
+    held = materialise(held.filter("lo < hi").select("shingle", "n"), "held")
+    hot = held.filter(f"n >= {HOT_SETS}").orderBy(F.desc("n"), "shingle").limit(HOT_SHINGLES)
+    hot = materialise(hot, "hot")
+    often = each.join(F.broadcast(hot), "shingle")
+    seldom = each.join(F.broadcast(hot.select("shingle")), "shingle", "left_anti").join(held, "shingle")
+    own = Window.partitionBy("node")
+    size, percent = F.col("size"), F.lit(PERCENT)
+    # Of the larger set of a link, at most size - ceil(80 %) shingles are not in the other one; of the smaller, fewer.
+    probe = size - F.ceil(percent * size / 100) + 1
+    index = size - F.ceil(2 * percent * size / (100 + percent)) + 1
+    place = size - F.count("*").over(own) + F.row_number().over(own.orderBy("n", "shingle"))
+    placed = often.unionByName(seldom).withColumn("place", place).filter(F.col("place") <= probe)
+    return placed.select("shingle", "node", "size", "component", "place", (F.col("place") <= index).alias("indexed"))
 
 
 def _prefix_pairs(members: DataFrame, sets: DataFrame, compared: DataFrame, found: DataFrame) -> DataFrame | None:
@@ -275,41 +285,24 @@ def _prefix_pairs(members: DataFrame, sets: DataFrame, compared: DataFrame, foun
     nodes = materialise(placed.join(mixed.select("bucket"), "bucket", "left_semi").select("node", "size", "component").distinct(), "open")
     if nodes.isEmpty():
         return None
-    frequent = sets.sparkSession.sparkContext.broadcast(_frequent(sets, nodes))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shared = np.array(sorted(frequent.value), dtype=np.int64)
-        counts = np.array([frequent.value[s] for s in shared.tolist()], dtype=np.int64)
-        for batch in batches:
-            for at in range(batch.num_rows):
-                row = batch.slice(at, 1)
-                shingles = row.column("found").flatten().to_numpy()
-                n = len(shingles)
-                often = np.zeros(n, dtype=np.int64)
-                if len(shared):
-                    place = np.minimum(np.searchsorted(shared, shingles), len(shared) - 1)
-                    often = np.where(shared[place] == shingles, counts[place], 0)
-                probe = n - -(-PERCENT * n // 100) + 1
-                index = n - -(-2 * PERCENT * n // (100 + PERCENT)) + 1
-                first = shingles[np.lexsort((shingles, often))[:probe]]
-                k = len(first)
-                same = [pa.array([row.column(c)[0].as_py()] * k, pa.int64()) for c in ("node", "size", "component")]
-                columns = [pa.array(first), pa.array(np.arange(1, k + 1)), pa.array(np.arange(k) < index)]
-                yield pa.RecordBatch.from_arrays([*same, *columns], ["node", "size", "component", "shingle", "place", "indexed"])
-
-    schema = "node long, size long, component long, shingle long, place long, indexed boolean"
-    prefixes = materialise(sets.join(nodes, "node").select("node", "size", "component", "found").mapInArrow(run, schema), "prefixes")
-    # A shingle that one node has, or one component, or none in the short prefix, makes no pair.
-    met = prefixes.groupBy("shingle").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("indexed").alias("any"))
-    of_many = prefixes.join(met.filter("lo < hi AND any").select("shingle"), "shingle", "left_semi")
+    prefixes = materialise(_prefixes(materialise(sets.join(nodes, "node"), "open-sets")), "prefixes")
+    # A shingle that one component has there, or none in the short prefix, makes no pair. Of the others, the members of the
+    # largest component do not meet each other.
+    shares = prefixes.groupBy("shingle", "component").agg(F.count("*").alias("n"), F.max("indexed").alias("any"))
+    met = shares.groupBy("shingle").agg(F.max(F.struct("n", "component")).alias("main"), F.count("*").alias("parts"), F.max("any").alias("any"))
+    met = met.filter("parts > 1 AND any").select("shingle", F.col("main.component").alias("main"))
+    of_many = prefixes.join(met, "shingle").withColumn("outside", F.col("component") != F.col("main"))
     columns = ["node", "size", "component", "place"]
-    one = of_many.select("shingle", *[F.col(c).alias(f"{c}_1") for c in columns])
-    two = of_many.filter("indexed").select("shingle", *[F.col(c).alias(f"{c}_2") for c in columns])
+    one = of_many.select("shingle", "outside", *[F.col(c).alias(f"{c}_1") for c in columns])
+    two = of_many.filter("indexed").select("shingle", "outside", *[F.col(c).alias(f"{c}_2") for c in columns])
+    outsiders = one.filter("outside").join(two.drop("outside"), "shingle")
+    insiders = one.filter("NOT outside").join(two.filter("outside").drop("outside"), "shingle")
+    joined = outsiders.drop("outside").unionByName(insiders.drop("outside"))
     larger = F.struct("size_1", "node_1") > F.struct("size_2", "node_2")
     # At the first shingle that both have, what can still be common must be enough for a link.
     room = 1 + F.least(F.col("size_1") - F.col("place_1"), F.col("size_2") - F.col("place_2"))
     enough = (100 + PERCENT) * room >= PERCENT * (F.col("size_1") + F.col("size_2"))
-    pairs = one.join(two, "shingle").filter(larger & (F.col("component_1") != F.col("component_2")) & _may_link("size_1", "size_2") & enough)
+    pairs = joined.filter(larger & (F.col("component_1") != F.col("component_2")) & _may_link("size_1", "size_2") & enough)
     return _not_compared(pairs, compared)
 
 
