@@ -86,3 +86,12 @@ def test_quantile_errors_are_bounded(spark):
         if bins == 100_000:
             assert all(r["rank_error"] == 0 for r in found)
     assert states.merged_quantiles(states.quantile_summary(df.filter("v < 0"), F.col("v"), F.col("g")), wanted).count() == 0
+
+
+def test_rows_of_a_bitmap_are_brought_together_before_it_is_made(spark):
+    """No exchange between the two halves of the aggregate: tasks would pass on a bitmap of 4 KB for almost every row."""
+    lines = spark.createDataFrame([("a", "c", "x", "2021-01", True)], "cust_email string, cust_city string, category_name string, order_ym string, is_repeat_customer boolean")
+    numbers = spark.createDataFrame([("a", 1)], "cust_email string, number long")
+    plan = states.customer_sets(lines, numbers)._jdf.queryExecution().executedPlan().toString()
+    last = plan.index("bitmap_construct_agg(")
+    assert "Exchange" not in plan[last : plan.index("partial_bitmap_construct_agg(", last)]
