@@ -2,6 +2,7 @@
 
 import datetime
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -49,6 +50,26 @@ def test_history_equals_plain_windows(skewed, rows, copies, monkeypatch):
     assert rows(enrich.with_customer_history(skewed).select(*want.columns)) == rows(want)
 
 
+def test_history_with_missing_keys(spark, rows):
+    """Lines without an email, day or product have their place, too; a text that reads as a key of another stays apart."""
+    schema = "cust_email string, cust_city string, order_date date, order_qty long, product_name string, product_price decimal(18,9), category_name string, total_sales decimal(38,9)"
+    days, names, emails = [None, datetime.date(1969, 12, 31), datetime.date(2021, 1, 5)], [None, "", "@", "a"], [None, "", "@", "x@y.zz"]
+    data = [(e, "c", d, i, p, Decimal(i + 1), "k", Decimal(i)) for e in emails for d in days for p in names for i in (1, 2, 2)]
+    master = spark.createDataFrame(data, schema)
+    want = plain_history(master)
+    assert rows(enrich.with_customer_history(master).select(*want.columns)) == rows(want)
+
+
+def test_lines_are_exchanged_twice_for_their_history(spark):
+    """Once to count identical ones, once by customer, day and product; the join with what lies before takes no third."""
+    master = line(spark, ("a@b.cc", "c", datetime.date(2021, 1, 5), 1, "p", 1, "k"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = enrich.with_customer_history(master)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") <= 8
+
+
 def test_repeat_flag_by_line_and_by_day(spark, rows):
     sales = line(spark, ("a@x", "O", D(2021, 1, 1), 1, "A", 10, "K"), ("a@x", "O", D(2021, 1, 1), 1, "B", 10, "K"), ("a@x", "O", D(2021, 1, 2), 1, "A", 10, "K"))
     flags = lambda **kw: [r[1] for r in rows(enrich.with_customer_history(sales, **kw), "order_seq", "is_repeat_customer")]
