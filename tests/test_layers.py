@@ -230,3 +230,15 @@ def test_csv_rows_that_do_not_fit_are_kept_apart(spark, tmp_path, rows):
     ]
     assert rows(load.report, "n_rows", "clean_rows", "bad_rows", "too_few_columns") == [(2, 0, 2, 0), (5, 3, 2, 1)]
     assert rows(files.load_csv(spark, str(source / "good.csv"), files.RAW_PRODUCT, str(tmp_path / "again")).clean, "ProdNumber") == [("B1",), ("B4",), ("B5",)]
+
+
+def test_dimensions_from_spellings_equal_those_from_lines(spark, rows):
+    some = lambda *x: [None, *x]
+    days = some(datetime.date(2021, 1, 5), datetime.date(2021, 2, 1))
+    data = [(e, c, d, 1, p, 1, k) for e in some("A@b.cc", " a@b.cc", "") for c in some("X", "x ", " X") for d in days for p in some("p", "P ") for k in some("k")]
+    master = line(spark, *data)
+    lines = star.sales_lines(master)
+    assert rows(star.dim_customer(star.customer_lines(master))) == rows(star.dim_customer(lines))
+    assert rows(star.dim_product(star.product_lines(master))) == rows(star.dim_product(lines))
+    assert rows(star.customer_months(master).distinct()) == rows(lines.select("customer_sk", "order_ym").distinct())
+    assert rows(star.sold_dates(master)) == rows(lines.select("order_date"))
