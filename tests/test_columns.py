@@ -78,3 +78,12 @@ def test_ratio_and_key(spark):
     assert one.select(C.growth(F.lit(3), F.lit(2))).first()[0] == 0.5
     keys = values(spark, ["A@h.c", " a@H.c ", None], C.customer_key("x"))
     assert keys[0] == keys[1] >= 0 and keys[2] is None
+
+
+def test_dates_are_parsed_without_splitting_by_regular_expressions(spark, rows):
+    texts = ["2021-03-04", "2021-3-4", "3/4/2021", "13/04/2021", "13/13/2021", "30/2/2021", "1/2/3/2021", "/1/2021", "1//2021", "01/02/21", " 1/2/2021 ", "", None, "x"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", C.safe_date("t").alias("d"))
+    assert "split(" not in df._jdf.queryExecution().optimizedPlan().toString()
+    found = {t: d and d.isoformat() for t, d in df.collect()}
+    wanted = {"2021-03-04": "2021-03-04", "2021-3-4": "2021-03-04", "3/4/2021": "2021-03-04", "13/04/2021": "2021-04-13", " 1/2/2021 ": "2021-01-02"}
+    assert found == {t: wanted.get(t) for t in texts}
