@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillwright.llm.token_files import release_memory
 from tillwright.session import materialise
 
 WINDOW = 10
@@ -154,6 +155,7 @@ def scan(docs: DataFrame, chunk: list[tuple[str, list[bytes]]], window: int) ->
     text = next(c for c in kept if c.lower() == "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         automaton = Automaton(*shared.value)
         for batch in batches:
             counts, spans, items = [], batch.column("spans").to_pylist(), batch.column("items").to_pylist()
@@ -283,6 +285,7 @@ def _cut(docs: DataFrame, chunk: list[tuple[str, list[bytes]]], window: int) ->
     shared = docs.sparkSession.sparkContext.broadcast((chunk, window))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         automaton = Automaton(*shared.value)
         for batch in batches:
             changed: dict[int, bytes] = {}

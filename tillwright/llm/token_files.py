@@ -248,6 +248,9 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int | None = 1,
             writer.close()
             row = [[TaskContext.get().partitionId()], [path], [writer.documents], [writer.ids]]
             yield pa.RecordBatch.from_arrays([pa.array(row[0], pa.int64()), pa.array(row[1]), *(pa.array(c, pa.int64()) for c in row[2:])], ["part", "path", "documents", "ids"])
+        # The words of this task are of no use to what its worker does next, which may be another stage for a long time.
+        del encoder, writer
+        release_memory()
 
     manifest = rows.sortWithinPartitions(*order).mapInArrow(run, "part long, path string, documents long, ids long")
     manifest.write.parquet(f"{folder}/manifest")
