@@ -70,6 +70,26 @@ def test_lines_are_exchanged_twice_for_their_history(spark):
     assert plan.count("Exchange hashpartitioning") <= 8
 
 
+@pytest.mark.parametrize("day_lines", [0, 5, 60])
+@pytest.mark.parametrize("copies", [1, 7, 1 << 16])
+def test_history_of_large_days(skewed, rows, day_lines, copies, monkeypatch):
+    """Days with more lines than fit are cut by product; with those that are not they give what plain windows give."""
+    monkeypatch.setattr(enrich, "DAY_LINES", day_lines)
+    monkeypatch.setattr(enrich, "_COPIES_PER_ROW", copies)
+    want = plain_history(skewed)
+    assert rows(enrich.with_customer_history(skewed).select(*want.columns)) == rows(want)
+
+
+def test_lines_are_exchanged_once_for_their_history(spark):
+    """By customer and day; all other exchanges have one row for each customer and day."""
+    master = line(spark, ("a@b.cc", "c", datetime.date(2021, 1, 5), 1, "p", 1, "k"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = enrich.with_customer_history(master)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") <= 3
+
+
 def test_repeat_flag_by_line_and_by_day(spark, rows):
     sales = line(spark, ("a@x", "O", D(2021, 1, 1), 1, "A", 10, "K"), ("a@x", "O", D(2021, 1, 1), 1, "B", 10, "K"), ("a@x", "O", D(2021, 1, 2), 1, "A", 10, "K"))
     flags = lambda **kw: [r[1] for r in rows(enrich.with_customer_history(sales, **kw), "order_seq", "is_repeat_customer")]
