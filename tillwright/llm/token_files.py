@@ -77,6 +77,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.is_special = re.compile("|".join(map(re.escape, self.special)) or "(?!)").search
         self.end = b"" if end_id is None else struct.pack("<I", end_id)
         self.known = _Known(self._encoded)
         self.pieces: dict[str, bytes] = {}
@@ -106,16 +107,25 @@ class Encoder:
         letter, digit, simple = (re.escape(k) for k in kinds.values())
         self.simple = re.compile(f"[{simple}]+")
         self.cut = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{digit}]|[^{letter}{digit}]+")
+        # Whether ASCII is lowered as usual, is its own byte form, and A-Z are letters: no table is needed then.
+        plain = [chr(c) for c in range(0x21, 0x7F) if c in self.lower]
+        self.ascii = all(self.lower[ord(c)] == c.lower() and self.bytes[ord(c.lower())] == c.lower() for c in plain)
+        self.ascii = self.ascii and all(c in kinds["letter"] for c in "abcdefghijklmnopqrstuvwxyz")
 
     def _short(self, word: str) -> bytes:
-        out = []
-        for piece in self.cut.findall(word.translate(self.lower)):
-            ids = self.pieces.get(piece)
-            if ids is None:
-                found = [t.id for t in self.tokenizer.model.tokenize(piece.translate(self.bytes))]
-                ids = self.pieces[piece] = struct.pack(f"<{len(found)}I", *found)
-            out.append(ids)
-        return b"".join(out)
+        if self.ascii and word.isascii():
+            word = word.lower()
+            if word.isalpha():
+                return self.pieces.get(word) or self._piece(word)
+        else:
+            word = word.translate(self.lower)
+        return b"".join([self.pieces.get(piece) or self._piece(piece) for piece in self.cut.findall(word)])
+
+    def _piece(self, piece: str) -> bytes:
+        form = piece if self.ascii and piece.isascii() else piece.translate(self.bytes)
+        found = [t.id for t in self.tokenizer.model.tokenize(form)]
+        ids = self.pieces[piece] = struct.pack(f"<{len(found)}I", *found)
+        return ids
 
     def _whole(self, word: str) -> bytes:
         ids = self.tokenizer.encode(word, add_special_tokens=False).ids
@@ -135,8 +145,7 @@ class Encoder:
 
     def _encoded(self, raw: bytes) -> bytes:
         word = raw.decode()
-        simple = self.simple.fullmatch(word) and not any(s in word for s in self.special)
-        return self._short(word) if simple else self._whole(word)
+        return self._short(word) if self.simple.fullmatch(word) and not self.is_special(word) else self._whole(word)
 
 
 class Writer:
