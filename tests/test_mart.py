@@ -50,6 +50,21 @@ def contents(version, table):
     return {(p.month, p.bucket): p.content for p in version.of(table)}
 
 
+def test_fingerprint_sums_all_bits_of_the_hashes(spark):
+    df = spark.range(1000).select("id", F.when(F.col("id") % 3 > 0, F.col("id").cast("string")).alias("text"))
+    h = F.xxhash64("id", F.col("id").isNull(), "text", F.col("text").isNull())
+    want = df.agg(F.count("*"), F.sum(h.cast("decimal(28,0)")).cast("string"), F.bit_xor(h)).first()
+    assert tuple(df.agg(*mart.fingerprint(df.columns)).first()) == tuple(want)
+    assert tuple(df.limit(0).agg(*mart.fingerprint(df.columns)).first()) == (0, "0", 0)
+
+
+def test_lines_of_the_master_keep_the_keys_of_the_star(refreshed):
+    _, latest, _ = refreshed
+    keys = ["customer_sk", "product_sk"]
+    hashed = latest.master.select(C.customer_key("cust_email").alias("c"), C.product_key("product_name", "category_name").alias("p"))
+    assert latest.table("master_sales").select(*keys).exceptAll(hashed).isEmpty()
+
+
 def test_refresh_equals_full_build(refreshed, full):
     _, latest, _ = refreshed
     for table in {p.table_name for p in full.parts}:

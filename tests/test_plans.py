@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SMALL
+from tillwright.operators import metrics, staging
 from tillwright.operators.combine import join_lines, one_row
 from tillwright.plans import registry
 from tillwright.plans.layers import Layers, StoredLayers
@@ -68,6 +69,22 @@ def test_scans_read_only_the_needed_columns(spark):
     assert "l_extendedprice" not in line_scan and "l_shipdate" not in line_scan
 
 
+def test_quantities_of_the_earlier_mart_stay_out_of_the_join(spark):
+    """The test for a positive quantity would repeat the whole expression there, too long a method to be compiled."""
+    raw = Layers.from_test_data(spark, SMALL).raw
+    staged = staging.typed_orders(registry._with_other_quantities(raw.orders))
+    plan = staged._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"SortMergeJoin \[[^]]*\], \[[^]]*\], Inner\n", plan)
+
+
+def test_products_are_summed_by_month_before_their_categories_are_joined(spark):
+    lines = Layers.from_test_data(spark, SMALL).lines
+    plan = metrics.v_asp_category_monthly(lines)._jdf.queryExecution().executedPlan().toString()
+    keys = {re.sub(r"#\d+L?", "", k) for k in re.findall(r"HashAggregate\(keys=\[([^]]*)\]", plan)}
+    assert "order_ym, product_sk" in keys
+    assert not any("order_ym" in k and "product_name" in k for k in keys)
+
+
 def test_plans_are_shared_and_stored_tables_are_not(spark):
     layers = Layers.from_test_data(spark, SMALL)
     first, second = StoredLayers(layers), StoredLayers(layers)
