@@ -189,3 +189,37 @@ def test_old_files_go(spark, refreshed, full):
     assert len(glob.glob(f"{latest.folder}/{mart.EXT}/run=*/order_ym=*/bucket=*")) == len(latest.of(mart.EXT))
     again = mart.Mart(spark, latest.folder)
     assert contents(again, "master_sales") == contents(full, "master_sales") and again.ext.count() == full.ext.count()
+
+
+def test_lines_are_joined_once_and_written_as_they_lie(spark, raw, full, tmp_path, monkeypatch):
+    """The staged lines, the master and the fact are written without a join or an exchange of their own."""
+    plans, write = {}, mart.files.write_parquet
+
+    def kept(df, path, *options):
+        plans[path.split("/")[-2]] = df._jdf.queryExecution().executedPlan().toString()
+        write(df, path, *options)
+
+    monkeypatch.setattr(mart.files, "write_parquet", kept)
+    made = mart.refresh(spark, raw, str(tmp_path), buckets=4, ranked=False)
+    for table in ("stg_orders", "master_sales", "fact_sales"):
+        assert "Join" not in plans[table] and "Exchange" not in plans[table], table
+        assert contents(made, table) == contents(full, table)
+    assert made.orders.exceptAll(Layers(raw).orders.select(*made.orders.columns)).isEmpty() and made.orders.count() == Layers(raw).orders.count()
+
+
+def test_products_without_category_stay_staged(spark):
+    """A line whose product has no category that survives is a staged line and none of the master."""
+    customers = spark.createDataFrame([(1, "a@x.org", "Aa"), (2, None, None)], "CustomerID long, CustomerEmail string, CustomerCity string")
+    products = spark.createDataFrame([("P1", "One", 1, 2.5), ("P2", "Two", 9, 3.0)], "ProdNumber string, ProdName string, CategoryID long, Price double")
+    products = products.withColumn("Price", F.col("Price").cast(C.PRICE_TYPE))
+    categories = spark.createDataFrame([(1, None)], "CategoryID long, CategoryName string")
+    rows = [(7, c, p, 2) for c in (1, 2, 3, None) for p in ("P1", "P2", "P3", None)] * 2
+    orders = spark.createDataFrame(rows, "OrderID long, CustomerID long, ProdNumber string, Quantity long")
+    orders = orders.withColumns({"OrderDate": F.lit("2021-03-04").cast("date"), "order_ym": F.lit("2021-03")}).select(*mart.staging.ORDER_COLUMNS)
+    staged = mart.master.staged_lines(orders, customers, products, categories)
+    assert sorted(map(str, staged.select("CustomerID", "ProdNumber").collect())) == sorted(
+        f"Row(CustomerID={c}, ProdNumber='{p}')" for c in (1, 2) for p in ("P1", "P2") for _ in range(2)
+    )
+    plain = mart.master.master_sales(orders, customers, products, categories, keys=True)
+    found = mart.master.master_of_staged(staged).drop("order_ym")
+    assert found.schema == plain.schema and sorted(map(str, found.collect())) == sorted(map(str, plain.collect())) and found.count() == 4
