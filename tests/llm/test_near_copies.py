@@ -3,6 +3,7 @@
 import random
 from itertools import combinations
 
+import pyarrow as pa
 import pytest
 
 from tillwright.llm import near_dedup
@@ -65,3 +66,16 @@ def test_pairs_of_unlinked_copies_do_not_arise(spark):
         finally:
             near_dedup._prefix_pairs = original
     assert made[400] <= 400
+
+
+def test_tasks_hold_few_sets_and_words(monkeypatch):
+    """Batches are worked on in pieces of bounded size, in order and whole, and words are forgotten before there are too many."""
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(2 * near_dedup.HELD_SETS + 5))})
+    pieces = list(near_dedup._pieces(iter([batch, batch.slice(0, 0), batch.slice(0, 3)])))
+    assert [p.num_rows for p in pieces] == [near_dedup.HELD_SETS, near_dedup.HELD_SETS, 5, 3]
+    assert pa.Table.from_batches(pieces).column("doc_id").to_pylist() == [*range(batch.num_rows), 0, 1, 2]
+    monkeypatch.setattr(near_dedup, "KEPT_WORDS", 50)
+    few, many = near_dedup._WordHashes(), {}
+    for n in range(500):
+        word = b"w%d" % (n % 120)
+        assert few[word] == many.setdefault(word, few[word]) and len(few) <= 50

@@ -168,6 +168,8 @@ def scan(docs: DataFrame, chunk: list[tuple[str, list[bytes]]], window: int) ->
                     items[i] = sorted(found.union(items[i]))
             columns = [*(batch.column(c) for c in kept), pa.array(counts, pa.int64()), pa.array(spans, _SPANS), pa.array(items, pa.list_(pa.string()))]
             yield pa.RecordBatch.from_arrays(columns, [*kept, "n_words", "spans", "items"])
+        del automaton
+        release_memory()
 
     return docs.mapInArrow(run, docs.schema)
 
@@ -306,5 +308,7 @@ def _cut(docs: DataFrame, chunk: list[tuple[str, list[bytes]]], window: int) ->
                     [pa.array(texts, pa.binary()).cast(pa.string()), batch.column("others"), pa.array(lost, pa.float64())], ["text", "others", "lost"]
                 )
             yield batch
+        del automaton
+        release_memory()
 
     return docs.mapInArrow(run, docs.schema)

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 from pyspark.sql.window import Window as W
 
+from tillwright.llm.token_files import release_memory
 from tillwright.session import materialise
 
 BLOCK_WORDS = 64
@@ -51,6 +52,7 @@ def sizes_of(docs: DataFrame) -> DataFrame:
         for batch in batches:
             sizes = [len(word_starts(t or b"")) for t in batch.column("text").cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(sizes, pa.int64())], [*names, "size"])
+        release_memory()
 
     names = ["row", "doc_id", "source"]
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "source", "text")
@@ -256,6 +258,8 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
             bodies, parts, sizes = (batch.column(c).to_pylist() for c in ("text", "parts", "size"))
             cut = [_passages(t.encode(), p, n).decode() for t, p, n in zip(bodies, parts, sizes, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("others"), pa.array(cut, pa.string())], ["others", "text"])
+            del bodies, parts, cut
+        release_memory()
 
     schema = StructType([rows.schema["others"], StructField("text", StringType())])
     cut = rows.select("text", "others", "parts", "size").mapInArrow(run, schema)

@@ -31,6 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tillwright.llm.token_files import release_memory
 from tillwright.session import materialise
 
 SHINGLE_WORDS = 5
@@ -46,6 +47,8 @@ DRAWN = 16
 # Shingles that at least so many of the sets searched by prefix hold are looked up by broadcast, the most frequent ones up to
 # this number (16 bytes each); the others are joined.
 HOT_SETS, HOT_SHINGLES = 100, 50_000
+# Hashes of words that a task keeps (about 140 bytes each), and documents whose sets it holds at a time.
+KEPT_WORDS, HELD_SETS = 100_000, 1_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -53,7 +56,7 @@ class _WordHashes(dict):
     """64-bit hash by word, kept for the words met last."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 250_000:
+        if len(self) >= KEPT_WORDS:
             self.clear()
         self[word] = value = xxhash.xxh3_64_intdigest(word)
         return value
@@ -101,12 +104,20 @@ class _Circulant:
         return _mix(np.hstack([self.names, least.reshape(self.shape).astype(np.uint64)])).view(np.int64)
 
 
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of ``batches``, at most ``HELD_SETS`` at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, HELD_SETS):
+            yield batch.slice(at, HELD_SETS)
+
+
 def signatures(docs: DataFrame, shingle_words: int, bands: int = BANDS, band_rows: int = BAND_ROWS) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``digest`` of the set (null if it is empty) and ``bands``, the bucket keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         hashes, circulant = _WordHashes(), _Circulant(bands, band_rows)
-        for batch in batches:
+        for batch in _pieces(batches):
             sizes, digests, keys = [], [], []
             for text in batch.column("text").cast(pa.binary()):
                 found = shingle_set(text.as_py() or b"", hashes, shingle_words)
@@ -115,6 +126,9 @@ def signatures(docs: DataFrame, shingle_words: int, bands: int = BANDS, band_row
                 keys.append(circulant.keys(found) if len(found) else [])
             columns = [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "digest", "bands"])
+        # The worker serves other stages next, and must not hold this task's words and sets meanwhile.
+        del hashes, circulant
+        release_memory()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
         run, "doc_id long, n_shingles long, digest binary, bands array<long>"
@@ -125,10 +139,14 @@ def _sets(docs: DataFrame, ids: DataFrame, shingle_words: int) -> DataFrame:
     """``node`` and its shingle set, for the documents named in ``ids``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_memory()
         hashes = _WordHashes()
-        for batch in batches:
+        for batch in _pieces(batches):
             sets = [shingle_set(t or b"", hashes, shingle_words).view(np.int64) for t in batch.column("text").cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], ["node", "found"])
+            del sets
+        del hashes
+        release_memory()
 
     few = ids.count() <= BROADCAST_IDS
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text")

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tillwright.llm.token_files import release_memory
+
 # Rows the model is fitted on; their feature sets are all that the driver holds (about 4 kB a row).
 SAMPLE_ROWS = 8_000
 FEATURE_BITS = 16
@@ -193,7 +195,12 @@ def with_scores(docs: DataFrame, model: QualityModel, score: str = "score") -> D
     kept = [F.col(f"`{c}`") for c in docs.columns if c.lower() != score.lower()]
 
     @F.arrow_udf("double")
-    def scored(texts: pa.Array) -> pa.Array:
-        return pa.array(QualityModel(*shared.value).scores(binary(texts)), pa.float64())
+    def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        release_memory()
+        model = QualityModel(*shared.value)
+        for texts in batches:
+            yield pa.array(model.scores(binary(texts)), pa.float64())
+        del model
+        release_memory()
 
     return docs.select(*kept, scored(F.coalesce("text", F.lit(""))).alias(score))
