@@ -88,6 +88,29 @@ def test_refresh_leaves_other_months_alone(refreshed):
         assert written[table] == (1, 0)
 
 
+def test_states_of_other_months_stay(spark, raw, refreshed, full, tmp_path):
+    """Lines written anew for their sequence or lifetime value leave the states of their month alone; a month in which a line
+    turns from a repeated to a first one does not."""
+    first, latest, _ = refreshed
+    for table in ("customer_sets", "slice_sums"):
+        old = {(p.month, p.run) for p in first.of(table)}
+        fresh = {p.month for p in latest.of(table) if (p.month, p.run) not in old}
+        lines = {p.month for p in latest.of(mart.EXT) if p not in first.parts}
+        assert "1996-03" in fresh and fresh < lines, table
+    # The earlier version has lines of one customer in February that are gone later: a line of another month becomes the first.
+    ranked = full.ext.filter("cust_email IS NOT NULL AND order_seq = 1 AND order_ym > '1996-02'").orderBy("cust_email").first()
+    buyer = full.customers.filter(F.col("CustomerEmail") == ranked["cust_email"]).agg(F.min("CustomerID")).scalar()
+    of_buyer = (C.safe_int("CustomerID") == buyer) & (C.year_month(C.safe_date("Date")) == ranked["order_ym"])
+    earlier = with_orders(raw, lambda o: o.unionByName(o.filter(of_buyer).withColumn("Date", F.lit("1996-02-01"))))
+    before = mart.refresh(spark, earlier, str(tmp_path), buckets=4, ranked=False)
+    after = mart.refresh(spark, raw, str(tmp_path), buckets=4, ranked=False)
+    for table in (mart.EXT, "customer_sets", "slice_sums"):
+        assert contents(after, table) == contents(full, table), table
+        fresh = {p.month for p in after.of(table) if p not in before.parts}
+        assert {"1996-02", ranked["order_ym"]} <= fresh, table
+        assert table == mart.EXT or fresh == {"1996-02", ranked["order_ym"]}
+
+
 def test_nothing_changed_makes_no_version(spark, raw, refreshed):
     _, latest, _ = refreshed
     assert mart.refresh(spark, raw, latest.folder, buckets=4).version == latest.version == 2
