@@ -80,6 +80,30 @@ def test_history_of_large_days(skewed, rows, day_lines, copies, monkeypatch):
     assert rows(enrich.with_customer_history(skewed).select(*want.columns)) == rows(want)
 
 
+def by_month(who, day):
+    date = F.date_from_unix_date(day)
+    return F.year(date) * 12 + F.month(date)
+
+
+@pytest.mark.parametrize("day_lines", [0, 5, enrich.DAY_LINES])
+def test_history_by_place(skewed, rows, day_lines, monkeypatch):
+    """Lines that are brought together by month have the history that plain windows give, and each month is one task's."""
+    monkeypatch.setattr(enrich, "DAY_LINES", day_lines)
+    want = plain_history(skewed)
+    found = enrich.with_customer_history(skewed, place=by_month)
+    assert rows(found.select(*want.columns)) == rows(want)
+    if day_lines != 5:  # or the lines of the two kinds of days are written by two tasks
+        tasks = found.select(F.date_format("order_date", "yyyy-MM").alias("m"), F.spark_partition_id().alias("t")).groupBy("m").agg(F.count_distinct("t").alias("n"))
+        assert {r["n"] for r in tasks.collect()} == {1}
+
+
+def test_lines_brought_together_by_place_take_one_exchange(spark):
+    """The lines pass through one exchange, and so does the row of a customer's day; no join follows."""
+    master = line(spark, ("a@b.cc", "c", datetime.date(2021, 1, 5), 1, "p", 1, "k"))
+    plan = enrich.with_customer_history(master, place=by_month)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange hashpartitioning") == 2 and plan.count("REPARTITION_BY_COL") == 1
+
+
 def test_lines_are_exchanged_once_for_their_history(spark):
     """By customer and day; all other exchanges have one row for each customer and day."""
     master = line(spark, ("a@b.cc", "c", datetime.date(2021, 1, 5), 1, "p", 1, "k"))

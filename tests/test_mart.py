@@ -2,6 +2,7 @@
 
 import glob
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from tillwright.operators import semantic as sl
 from tillwright.plans import mart
 from tillwright.plans.layers import Layers
 from tillwright.plans.views import VIEWS
+from tillwright.session import lean_disk
 from tillwright.sources.retail import RawTables
 
 
@@ -246,3 +248,91 @@ def test_products_without_category_stay_staged(spark):
     plain = mart.master.master_sales(orders, customers, products, categories, keys=True)
     found = mart.master.master_of_staged(staged).drop("order_ym")
     assert found.schema == plain.schema and sorted(map(str, found.collect())) == sorted(map(str, plain.collect())) and found.count() == 4
+
+
+def test_only_months_that_may_have_changed_are_joined(spark, raw, refreshed, full, tmp_path, monkeypatch):
+    """A refresh joins the typed lines of the months with other hashes only; a line without a customer makes no version."""
+    joined, partners = [], mart.staging.with_partners
+
+    def seen(typed, customers, products):
+        joined.append({r[0] for r in typed.select("order_ym").distinct().collect()})
+        return partners(typed, customers, products)
+
+    folder = str(tmp_path)
+    first = mart.refresh(spark, raw, folder, buckets=4, ranked=False)
+    monkeypatch.setattr(mart.staging, "with_partners", seen)
+    nobody = with_orders(raw, lambda o: o.unionByName(o.filter(in_march(o)).withColumn("CustomerID", F.lit("-5"))))
+    assert mart.refresh(spark, nobody, folder, buckets=4, ranked=False).version == first.version
+    more = with_orders(raw, lambda o: o.unionByName(o.filter(in_march(o))))
+    assert mart.refresh(spark, more, folder, buckets=4, ranked=False).version == first.version + 1
+    assert mart.refresh(spark, raw, folder, buckets=4, ranked=False).version == first.version + 2
+    assert joined == [{"1996-03"}] * 3
+    latest = mart.Mart(spark, folder)
+    for table in ("stg_orders", "master_sales", mart.EXT, mart.TYPED):
+        assert contents(latest, table) == contents(full, table), table
+
+
+def test_lines_of_other_customers_are_written_as_they_lie(spark, raw, full, tmp_path, monkeypatch):
+    """In large parts the lines of unchanged customers pass through no exchange; parts of many files are brought together."""
+    monkeypatch.setattr(mart, "SMALL_PART", 1)
+    monkeypatch.setattr(mart, "FILE_LINES", 20)  # several places to a part
+    plans, placed, write = {}, {}, mart.files.write_parquet
+
+    def kept(df, path, *options):
+        table = path.split("/")[-2]
+        plans[table], placed[table] = df._jdf.queryExecution().executedPlan().toString(), options[1:] == (True,)
+        write(df, path, *options)
+
+    monkeypatch.setattr(mart.files, "write_parquet", kept)
+    folder, earlier = str(tmp_path), with_orders(raw, lambda o: o.withColumn("Quantity", F.when(in_march(o), "7").otherwise(F.col("Quantity"))))
+    first = mart.refresh(spark, earlier, folder, buckets=4, ranked=False)
+    assert plans[mart.EXT].count("REPARTITION_BY_COL") == 1 and placed[mart.EXT]
+    files = len(glob.glob(f"{folder}/{mart.EXT}/run=*/*/*/part-*"))
+    assert files <= mart.PART_FILES * len(first.of(mart.EXT))
+    latest = mart.refresh(spark, raw, folder, buckets=4, ranked=False)
+    stays = plans[mart.EXT].split("REBALANCE")[0]
+    assert placed[mart.EXT] and "BroadcastHashJoin" in stays
+    assert "SortMergeJoin" not in stays and stays.count("Exchange hashpartitioning") <= 1  # that of the few fresh lines
+    assert contents(latest, mart.EXT) == contents(full, mart.EXT)
+    monkeypatch.setattr(mart, "PART_FILES", 0)
+    again = mart.refresh(spark, earlier, folder, buckets=4, ranked=False)
+    assert not placed[mart.EXT] and contents(again, mart.EXT) == contents(first, mart.EXT)
+
+
+def test_typed_and_staged_lines_go_when_the_master_is_written(spark, raw, tmp_path, monkeypatch):
+    shared, seen, enriched = spark.conf.get("spark.checkpoint.dir"), set(), mart.enrich.with_line_columns
+
+    def kept(*args, **options):
+        seen.update(os.path.basename(p) for p in glob.glob(f"{shared}/tillwright-*"))
+        return enriched(*args, **options)
+
+    before = {os.path.basename(p) for p in glob.glob(f"{shared}/tillwright-*")}
+    monkeypatch.setattr(mart.enrich, "with_line_columns", kept)
+    made = mart.refresh(spark, raw, str(tmp_path), buckets=4, ranked=False)
+    assert {f.rsplit("-", 1)[0] for f in seen - before} >= {"tillwright-hashes"}
+    assert not {f.rsplit("-", 1)[0] for f in seen - before} & {"tillwright-orders", "tillwright-staged"}
+    assert {os.path.basename(p) for p in glob.glob(f"{shared}/tillwright-*")} <= before
+    written = glob.glob(f"{made.folder}/{mart.EXT}/run=*/**/part-*", recursive=True)
+    assert written and all(".zstd." in f for f in written)
+
+
+def test_shuffles_go_with_their_action(spark, tmp_path):
+    dirs = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+
+    def shuffles():
+        return {f for d in dirs for f in glob.glob(f"{d}/*/shuffle_*")}
+
+    def left(name):
+        before = shuffles()
+        spark.range(1000).groupBy(F.col("id") % 7).count().write.parquet(str(tmp_path / name))
+        for _ in range(50):
+            if not shuffles() - before:
+                break
+            time.sleep(0.1)
+        return shuffles() - before
+
+    assert left("plain")
+    setting = spark.conf.get("spark.sql.parquet.compression.codec")
+    with lean_disk(spark):
+        assert not left("lean")
+    assert spark.conf.get("spark.sql.parquet.compression.codec") == setting and left("after")

@@ -95,3 +95,14 @@ def test_rows_of_a_bitmap_are_brought_together_before_it_is_made(spark):
     plan = states.customer_sets(lines, numbers)._jdf.queryExecution().executedPlan().toString()
     last = plan.index("bitmap_construct_agg(")
     assert "Exchange" not in plan[last : plan.index("partial_bitmap_construct_agg(", last)]
+
+
+def test_lines_are_exchanged_by_customer_and_by_bitmap_only(spark):
+    """Two exchanges of lines: for the join with the numbers, and for the bitmaps."""
+    lines = spark.createDataFrame([("a", "c", "x", "2021-01", True)], "cust_email string, cust_city string, category_name string, order_ym string, is_repeat_customer boolean")
+    numbers = spark.createDataFrame([("a", 1)], "cust_email string, number long")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = states.customer_sets(lines, numbers)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") == 3  # one of them of the numbers
